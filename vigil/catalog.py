@@ -198,3 +198,177 @@ def a6_row_count(spark, sf_dir):
     FROM ({summary_sql('tx_docs')}) ORDER BY rule_name""")
 def a17_pass_rates(spark, sf_dir):
     return Q.pass_rates(Q.summary_fused(view(spark, sf_dir, "tx_docs")))
+
+
+# --------------------------------------------------------------------------
+# profiles
+# --------------------------------------------------------------------------
+from vigil.operators import profile as PR  # noqa: E402
+from vigil.sources.views import table  # noqa: E402
+
+LINEITEM_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("a10_category_counts", """
+    SELECT region, CAST(count(*) AS BIGINT) AS n FROM tx_orders
+    WHERE region IS NOT NULL GROUP BY region ORDER BY n DESC, region""")
+def a10_category_counts(spark, sf_dir):
+    return PR.category_counts(view(spark, sf_dir, "tx_orders"), "region")
+
+
+def _describe_sql(tbl: str, cols: list[str]) -> str:
+    parts = [f"""SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS count,
+                        round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
+                        round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS p25,
+                        round(quantile_cont({c}, 0.5), 6) AS p50, round(quantile_cont({c}, 0.75), 6) AS p75,
+                        round(max({c}), 6) AS max FROM {tbl}""" for c in cols]
+    return " UNION ALL ".join(parts)
+
+
+@register("a12_describe", _describe_sql("lineitem", LINEITEM_NUMERIC))
+def a12_describe(spark, sf_dir):
+    return PR.describe(table(spark, sf_dir, "lineitem"), LINEITEM_NUMERIC)
+
+
+@register("a13_range_mean", """
+    SELECT CAST(count(amount) AS BIGINT) AS n, min(amount) AS min_value, max(amount) AS max_value,
+           round(avg(amount), 6) AS mean_value
+    FROM tx_acct WHERE amount > 0 AND NOT isnan(amount)""")
+def a13_range_mean(spark, sf_dir):
+    df = view(spark, sf_dir, "tx_acct")
+    return PR.range_mean(df.where((F.col("amount") > 0) & ~F.isnan("amount")), "amount")
+
+
+@register("a14_histogram", """
+    WITH b AS (SELECT min(amount) AS lo, max(amount) AS hi FROM tx_events),
+         c AS (SELECT CAST(least(floor((amount - lo) / (hi - lo) * 50) + 1, 50) AS INTEGER) AS bin,
+                      count(*) AS cnt
+               FROM tx_events, b WHERE amount IS NOT NULL GROUP BY 1),
+         e AS (SELECT CAST(range AS INTEGER) AS bin FROM range(1, 51))
+    SELECT e.bin, round(lo + (e.bin - 1) * ((hi - lo) / 50), 6) AS bin_lo,
+           round(lo + e.bin * ((hi - lo) / 50), 6) AS bin_hi,
+           CAST(coalesce(c.cnt, 0) AS BIGINT) AS count
+    FROM e CROSS JOIN b LEFT JOIN c ON e.bin = c.bin ORDER BY e.bin""")
+def a14_histogram(spark, sf_dir):
+    return PR.histogram(view(spark, sf_dir, "tx_events"), "amount", 50)
+
+
+@register("a15_boxplot", """
+    WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.5) AS med,
+                      quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem),
+         f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_f, q3 + 1.5 * (q3 - q1) AS hi_f FROM q)
+    SELECT CAST(count(l_extendedprice) AS BIGINT) AS n, round(any_value(q1), 6) AS q1,
+           round(any_value(med), 6) AS median, round(any_value(q3), 6) AS q3,
+           round(any_value(q3) - any_value(q1), 6) AS iqr,
+           round(min(CASE WHEN l_extendedprice >= lo_f THEN l_extendedprice END), 6) AS lower_whisker,
+           round(max(CASE WHEN l_extendedprice <= hi_f THEN l_extendedprice END), 6) AS upper_whisker,
+           CAST(count_if(l_extendedprice < lo_f OR l_extendedprice > hi_f) AS BIGINT) AS n_outliers
+    FROM lineitem, f""")
+def a15_boxplot(spark, sf_dir):
+    return PR.boxplot_stats(table(spark, sf_dir, "lineitem"), "l_extendedprice")
+
+
+@register("p3_valid_amounts", """
+    SELECT transaction_id, amount FROM tx_acct
+    WHERE amount IS NOT NULL AND NOT isnan(amount) AND amount > 0""")
+def p3_valid_amounts(spark, sf_dir):
+    df = view(spark, sf_dir, "tx_acct")
+    return df.where(R.positive("valid", "amount").column(df)).select("transaction_id", "amount")
+
+
+@register("p4_drop_missing", "SELECT transaction_id, class FROM tx_docs WHERE class IS NOT NULL")
+def p4_drop_missing(spark, sf_dir):
+    from vigil.functions.nulls import drop_missing
+    return drop_missing(view(spark, sf_dir, "tx_docs"), ["class"]).select("transaction_id", "class")
+
+
+# --------------------------------------------------------------------------
+# Dirty sample source and the checks it implies
+# --------------------------------------------------------------------------
+from vigil.sources import synth as SY  # noqa: E402
+
+SAMPLE_INDEX_SQL = "SELECT event_id + 1 AS i FROM events"
+TX_DIRTY_SQL = SY.sql_dirty_sample(SAMPLE_INDEX_SQL)
+
+
+def tx_dirty(spark, sf_dir):
+    """Sample rows, one per event (index i = event_id + 1): grows with the table."""
+    idx = table(spark, sf_dir, "events").select((F.col("event_id") + 1).alias("i"))
+    return SY.dirty_sample(idx)
+
+
+def _dirty_sql(body: str) -> str:
+    return f"WITH tx_dirty AS ({TX_DIRTY_SQL}) {body}"
+
+
+def register_dirty(name: str, body: str | None):
+    def deco(fn):
+        QUERIES[name] = fn
+        if body is not None:
+            ORACLE[name] = _dirty_sql(body)
+        return fn
+    return deco
+
+
+_DIRTY_COLS = "transaction_id, transaction_date, customer_id, amount, region"
+
+
+@register_dirty("g1_sample_rows", f"SELECT {_DIRTY_COLS} FROM tx_dirty")
+def g1_sample_rows(spark, sf_dir):
+    return tx_dirty(spark, sf_dir).select(*_DIRTY_COLS.split(", "))
+
+
+@register_dirty("g2_nonpositive_amounts", "SELECT transaction_id, amount FROM tx_dirty WHERE defect_draw < 0.02")
+def g2_nonpositive_amounts(spark, sf_dir):
+    return tx_dirty(spark, sf_dir).where(F.col("defect_draw") < SY.P_NEGATIVE).select("transaction_id", "amount")
+
+
+@register_dirty("g3_missing_customer", "SELECT transaction_id, region FROM tx_dirty WHERE customer_id IS NULL")
+def g3_missing_customer(spark, sf_dir):
+    return tx_dirty(spark, sf_dir).where(F.col("customer_id").isNull()).select("transaction_id", "region")
+
+
+@register_dirty("g4_blank_date", "SELECT transaction_id, amount FROM tx_dirty WHERE transaction_date = ''")
+def g4_blank_date(spark, sf_dir):
+    return tx_dirty(spark, sf_dir).where(F.col("transaction_date") == "").select("transaction_id", "amount")
+
+
+@register_dirty("g5_copied_ids", """
+    SELECT transaction_id, CAST(count(*) AS BIGINT) AS copies FROM tx_dirty
+    GROUP BY transaction_id HAVING count(*) > 1""")
+def g5_copied_ids(spark, sf_dir):
+    return (tx_dirty(spark, sf_dir).groupBy("transaction_id").agg(F.count(F.lit(1)).cast("long").alias("copies"))
+            .where(F.col("copies") > 1))
+
+
+@register_dirty("g6_extreme_amounts", "SELECT transaction_id, amount FROM tx_dirty WHERE amount >= 8000")
+def g6_extreme_amounts(spark, sf_dir):
+    return tx_dirty(spark, sf_dir).where(F.col("amount") >= SY.BIG_LO).select("transaction_id", "amount")
+
+
+@register_dirty("d1_unique_id", """
+    SELECT d.transaction_id, d.amount, coalesce(k.n = 1, false) AND d.transaction_id IS NOT NULL AS unique_id
+    FROM tx_dirty d LEFT JOIN (SELECT transaction_id, count(*) AS n FROM tx_dirty GROUP BY 1) k
+      ON d.transaction_id IS NOT DISTINCT FROM k.transaction_id""")
+def d1_unique_id(spark, sf_dir):
+    return R.unique_key_rule(tx_dirty(spark, sf_dir), "transaction_id").select("transaction_id", "amount", "unique_id")
+
+
+def _sample_rule_query(rule_name: str):
+    rule = next(r for r in R.SAMPLE_RULES if r.name == rule_name)
+
+    def q(spark, sf_dir):
+        df = tx_dirty(spark, sf_dir)
+        return df.select("transaction_id", "amount", rule.column(df).alias("rule_passed"))
+    return q
+
+
+register_dirty("d2_customer_present", """
+    SELECT transaction_id, amount, coalesce(customer_id IS NOT NULL AND trim(CAST(customer_id AS VARCHAR)) <> '', false)
+           AS rule_passed FROM tx_dirty""")(_sample_rule_query("customer_present"))
+register_dirty("d3_parseable_date", """
+    SELECT transaction_id, amount, try_strptime(transaction_date, '%Y-%m-%d') IS NOT NULL AS rule_passed
+    FROM tx_dirty""")(_sample_rule_query("parseable_date"))
+register_dirty("d4_positive_amount", """
+    SELECT transaction_id, amount, coalesce(amount > 0 AND NOT isnan(amount), false) AS rule_passed
+    FROM tx_dirty""")(_sample_rule_query("positive_amount"))

@@ -161,4 +161,7 @@ def with_views(sql: str, *extra: tuple[str, str]) -> str:
     if not ctes:
         return sql
     body = ",\n".join(f"{n} AS ({q})" for n, q in ctes)
+    stripped = sql.lstrip()
+    if stripped[:5].upper() == "WITH ":
+        return f"WITH {body},\n{stripped[5:]}"
     return f"WITH {body}\n{sql}"
