@@ -23,11 +23,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: str | None = None, raw: bool = False):
+    """Register a Spark query and its oracle; `raw` SQL already defines its CTEs."""
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = with_views(sql)
+            ORACLE[name] = sql if raw else with_views(sql)
         return fn
     return deco
 
@@ -372,3 +373,153 @@ register_dirty("d3_parseable_date", """
 register_dirty("d4_positive_amount", """
     SELECT transaction_id, amount, coalesce(amount > 0 AND NOT isnan(amount), false) AS rule_passed
     FROM tx_dirty""")(_sample_rule_query("positive_amount"))
+
+
+# --------------------------------------------------------------------------
+# Scaling and the isolation forest
+# --------------------------------------------------------------------------
+from vigil.forest_sql import cut_ctes, forest_ctes, with_ctes  # noqa: E402
+from vigil.operators import detect as DT  # noqa: E402
+from vigil.operators import iforest as IF  # noqa: E402
+from vigil.operators import reports as RP  # noqa: E402
+from vigil.operators import scaling as SC  # noqa: E402
+from vigil.sources.views import FEATURES, VIEW_SQL  # noqa: E402
+
+PARAMS = IF.ForestParams()
+VALID_AMOUNT = "amount IS NOT NULL AND NOT isnan(amount) AND amount > 0"
+
+
+def _valid_amount(df):
+    return df.where(R.positive("valid", "amount").column(df))
+
+
+def det_ctes(view_name: str, features: list[str], scale: bool = True, where: str | None = None,
+             params: IF.ForestParams = PARAMS) -> list[tuple[str, str]]:
+    """SQL twin of `detect` on a view: f_rows, forest CTEs, f_cut, `an` (stored rows), `scored`."""
+    complete = " AND ".join(f"{f} IS NOT NULL AND NOT isnan({f})" for f in features)
+    ctes = [(view_name, VIEW_SQL[view_name]),
+            ("f_rows", f"SELECT * FROM {view_name}" + (f" WHERE {where}" if where else "")),
+            ("f_base", f"SELECT * FROM f_rows WHERE {complete}")]
+    if scale:
+        z = SC.sql_standardize("f_base", features, keep=["transaction_id"])
+        ctes.append(("f_src", f"SELECT transaction_id AS _id, {', '.join(features)} FROM ({z})"))
+    else:
+        ctes.append(("f_src", f"SELECT transaction_id AS _id, {', '.join(features)} FROM f_base"))
+    ctes += forest_ctes("f_src", features, params) + cut_ctes(params.contamination)
+    ctes.append(("an", """SELECT s._id * 16 AS id, s._id AS transaction_id, round(s.raw_score - c.cut_raw, 6) AS anomaly_score,
+                          'IsolationForest' AS detection_method
+                   FROM f_scores s, f_cut c WHERE s.path_units < c.t_units"""))
+    ctes.append(("scored", """SELECT r.*, s.path_units, s.raw_score, s.raw_score - c.cut_raw AS decision,
+                              coalesce(s.path_units < c.t_units, false) AS flagged
+                       FROM f_rows r LEFT JOIN f_scores s ON r.transaction_id = s._id CROSS JOIN f_cut c"""))
+    return ctes
+
+
+def _detect(spark, sf_dir, view_name, features=None, scale=True, valid_amount=False, params=PARAMS):
+    df = view(spark, sf_dir, view_name)
+    if valid_amount:
+        df = _valid_amount(df)
+    return DT.detect(df, features or FEATURES[view_name], params=params, scale=scale)
+
+
+def det_register(name: str, view_name: str, body: str, features=None, scale=True, where=None):
+    sql = with_ctes(det_ctes(view_name, features or FEATURES[view_name], scale, where), body)
+    return register(name, sql, raw=True)
+
+
+_EV = FEATURES["tx_events"]
+
+
+@register("m1_standardize", SC.sql_standardize("tx_events", _EV, ["transaction_id"]).replace(
+    "SELECT b.transaction_id, ", "SELECT b.transaction_id, ", 1))
+def m1_standardize(spark, sf_dir):
+    df = view(spark, sf_dir, "tx_events").select("transaction_id", *_EV)
+    return SC.standardize(df, _EV).select("transaction_id", *[F.round(c, 6).alias(c) for c in _EV])
+
+
+ORACLE["m1_standardize"] = with_views(
+    f"SELECT transaction_id, {', '.join(f'round({c}, 6) AS {c}' for c in _EV)} FROM ("
+    + SC.sql_standardize("tx_events", _EV, ["transaction_id"]) + ")")
+
+
+@det_register("m2_forest_nodes", "tx_events",
+              "SELECT tree, node, depth, size, is_leaf, feature, round(split, 6) AS split, units FROM f_nodes")
+def m2_forest_nodes(spark, sf_dir):
+    df = view(spark, sf_dir, "tx_events")
+    sp = SC.fit_scaler(IF.complete_rows(df, _EV), _EV)
+    forest = IF.fit(SC.apply_scaler(df, sp), "transaction_id", _EV, PARAMS)
+    return forest.nodes.withColumn("split", F.round("split", 6))
+
+
+@det_register("m3_scores", "tx_events",
+              "SELECT transaction_id, path_units, round(raw_score, 6) AS raw_score FROM scored")
+def m3_scores(spark, sf_dir):
+    d = _detect(spark, sf_dir, "tx_events")
+    return d.scored.select("transaction_id", "path_units", F.round("raw_score", 6).alias("raw_score"))
+
+
+@det_register("m4_contamination_cut", "tx_events", """
+    SELECT transaction_id, path_units,
+           CASE WHEN path_units IS NULL THEN NULL WHEN flagged THEN -1 ELSE 1 END AS prediction FROM scored""")
+def m4_contamination_cut(spark, sf_dir):
+    return RP.predictions(_detect(spark, sf_dir, "tx_events").scored)
+
+
+@det_register("m5_score_rounding", "tx_events",
+              "SELECT transaction_id, round(decision, 6) AS anomaly_score FROM scored WHERE flagged")
+def m5_score_rounding(spark, sf_dir):
+    d = _detect(spark, sf_dir, "tx_events")
+    return DT.anomalies(d).select("transaction_id", "anomaly_score")
+
+
+@det_register("m6_detector", "tx_events", "SELECT id, transaction_id, anomaly_score, detection_method FROM an")
+def m6_detector(spark, sf_dir):
+    return DT.anomalies(_detect(spark, sf_dir, "tx_events"))
+
+
+@det_register("m7_one_feature", "tx_events", "SELECT transaction_id, anomaly_score FROM an",
+              features=["amount"], scale=False, where=VALID_AMOUNT)
+def m7_one_feature(spark, sf_dir):
+    d = _detect(spark, sf_dir, "tx_events", ["amount"], scale=False, valid_amount=True)
+    return DT.anomalies(d).select("transaction_id", "anomaly_score")
+
+
+@det_register("a16_detection_metrics", "tx_events", """
+    SELECT total_rows, anomalies, total_frauds, frauds_caught, total_rows - anomalies AS normal,
+           round(100 * rec, 1) AS recall_pct, round(100 * prec, 1) AS precision_pct,
+           round(CASE WHEN rec + prec > 0 THEN 200 * rec * prec / (rec + prec) ELSE 0.0 END, 1) AS f1_pct
+    FROM (SELECT *, frauds_caught / greatest(total_frauds, 1) AS rec, frauds_caught / greatest(anomalies, 1) AS prec
+          FROM (SELECT CAST(count_if(flagged) AS BIGINT) AS anomalies,
+                       CAST(count_if(coalesce(class = 1, false)) AS BIGINT) AS total_frauds,
+                       CAST(count_if(flagged AND coalesce(class = 1, false)) AS BIGINT) AS frauds_caught,
+                       CAST(count(*) AS BIGINT) AS total_rows FROM scored))""")
+def a16_detection_metrics(spark, sf_dir):
+    return DT.metrics(_detect(spark, sf_dir, "tx_events"))
+
+
+def _sweep_sql(rates=(0.01, 0.02, 0.05, 0.10)) -> str:
+    ctes = det_ctes("tx_events", ["amount"], False, VALID_AMOUNT)
+    parts = []
+    for i, r in enumerate(rates):
+        ctes += cut_ctes(r, name=f"c{i}")
+        parts.append(f"""SELECT CAST({r!r} AS DOUBLE) AS contamination,
+                                CAST((SELECT count(*) FROM f_scores WHERE path_units < (SELECT t_units FROM c{i})) AS BIGINT) AS anomalies_found""")
+    body = f"""SELECT contamination, anomalies_found,
+                      printf('%.1f%%', round(100.0 * anomalies_found / (SELECT count(*) FROM f_scores), 1)) AS anomaly_pct
+               FROM ({' UNION ALL '.join(parts)})"""
+    return with_ctes(ctes, body)
+
+
+@register("a18_contamination_sweep", _sweep_sql(), raw=True)
+def a18_contamination_sweep(spark, sf_dir):
+    d = _detect(spark, sf_dir, "tx_events", ["amount"], scale=False, valid_amount=True)
+    return DT.sweep(d)
+
+
+@det_register("a19_flagged_share", "tx_events", """
+    SELECT CAST(count(*) AS BIGINT) AS n, CAST(count_if(flagged) AS BIGINT) AS anomalies,
+           CAST(count_if(NOT flagged) AS BIGINT) AS normal,
+           round(100.0 * count_if(flagged) / greatest(count(*), 1), 1) AS anomaly_pct
+    FROM scored WHERE path_units IS NOT NULL""", features=["amount"], scale=False, where=VALID_AMOUNT)
+def a19_flagged_share(spark, sf_dir):
+    return DT.flagged_share(_detect(spark, sf_dir, "tx_events", ["amount"], scale=False, valid_amount=True))

@@ -196,3 +196,37 @@ def boxplot_stats(df: DataFrame, c: str, whis: float = 1.5) -> DataFrame:
         F.round(F.max(F.when(x <= hi_l, x)), 6).alias("upper_whisker"),
         F.count_if((x < lo_l) | (x > hi_l)).cast("long").alias("n_outliers"),
     )
+
+
+def order_statistic(df: DataFrame, c: str, k: int, n: int | None = None, limit: int = EXACT_PERCENTILE_LIMIT) -> float | None:
+    """Exact k-th smallest (0-based) non-missing value of `c`.
+
+    Small inputs: `percentile_disc` at the middle of rank k's share (an exact
+    element, no interpolation). Larger ones: distributed selection.
+    """
+    values = df.select(clean(df, c).alias("x")).where(F.col("x").isNotNull())
+    if n is None:
+        n = values.count()
+    if n == 0:
+        return None
+    if n <= limit:
+        p = (k + 0.5) / n
+        return values.select(F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY x)").alias("q")).first()["q"]
+    st = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    return _kth_value(values, k, st["lo"], st["hi"])
+
+
+def order_statistics(df: DataFrame, c: str, ks: list[int], n: int | None = None,
+                     limit: int = EXACT_PERCENTILE_LIMIT) -> list[float | None]:
+    """Several exact order statistics; one aggregate on small inputs."""
+    values = df.select(clean(df, c).alias("x")).where(F.col("x").isNotNull())
+    if n is None:
+        n = values.count()
+    if n == 0:
+        return [None for _ in ks]
+    if n <= limit:
+        exprs = [F.expr(f"percentile_disc({(k + 0.5) / n!r}) WITHIN GROUP (ORDER BY x)").alias(f"q{i}")
+                 for i, k in enumerate(ks)]
+        row = values.agg(*exprs).first()
+        return [row[f"q{i}"] for i in range(len(ks))]
+    return [order_statistic(df, c, k, n, limit) for k in ks]

@@ -28,6 +28,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8) -> SparkSe
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("VIGIL_DRIVER_MEMORY", "16g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.ansi.enabled", "true")
         .getOrCreate()
     )
