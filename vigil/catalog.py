@@ -523,3 +523,229 @@ def a18_contamination_sweep(spark, sf_dir):
     FROM scored WHERE path_units IS NOT NULL""", features=["amount"], scale=False, where=VALID_AMOUNT)
 def a19_flagged_share(spark, sf_dir):
     return DT.flagged_share(_detect(spark, sf_dir, "tx_events", ["amount"], scale=False, valid_amount=True))
+
+
+# --------------------------------------------------------------------------
+# Reports on the detector output
+# --------------------------------------------------------------------------
+from vigil.functions.buckets import sql_bucketize  # noqa: E402
+
+
+def _tx(spark, sf_dir, name):
+    return view(spark, sf_dir, name)
+
+
+@det_register("a8_fraud_breakdown", "tx_events", """
+    SELECT rt.class AS is_fraud, CASE WHEN a.id IS NOT NULL THEN 'Flagged' ELSE 'Not Flagged' END AS status,
+           CAST(count(*) AS BIGINT) AS cnt
+    FROM tx_events rt LEFT JOIN an a ON rt.transaction_id = a.transaction_id
+    GROUP BY rt.class, status""")
+def a8_fraud_breakdown(spark, sf_dir):
+    return RP.fraud_breakdown_scored(_detect(spark, sf_dir, "tx_events").scored)
+
+
+@det_register("a9_amount_distribution", "tx_acct", f"""
+    SELECT {sql_bucketize('rt.amount')} AS amount_range, CAST(count(*) AS BIGINT) AS total,
+           CAST(sum(CASE WHEN a.id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS anomalies
+    FROM tx_acct rt LEFT JOIN an a ON rt.transaction_id = a.transaction_id
+    GROUP BY amount_range ORDER BY min(rt.amount) NULLS FIRST""")
+def a9_amount_distribution(spark, sf_dir):
+    d = _detect(spark, sf_dir, "tx_acct")
+    return RP.amount_distribution(_tx(spark, sf_dir, "tx_acct"), DT.anomalies(d))
+
+
+@det_register("w6_order_by_aggregate", "tx_events", f"""
+    SELECT {sql_bucketize('rt.amount')} AS amount_range, CAST(count(*) AS BIGINT) AS total,
+           CAST(sum(CASE WHEN a.id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS anomalies
+    FROM tx_events rt LEFT JOIN an a ON rt.transaction_id = a.transaction_id
+    GROUP BY amount_range ORDER BY min(rt.amount) NULLS FIRST""")
+def w6_order_by_aggregate(spark, sf_dir):
+    d = _detect(spark, sf_dir, "tx_events")
+    return RP.amount_distribution(_tx(spark, sf_dir, "tx_events"), DT.anomalies(d))
+
+
+@det_register("a11_anomalies_by_region", "tx_orders", """
+    SELECT region, CAST(count(*) AS BIGINT) AS count FROM scored
+    WHERE flagged AND region IS NOT NULL GROUP BY region ORDER BY region""")
+def a11_anomalies_by_region(spark, sf_dir):
+    return RP.anomalies_by_region(_detect(spark, sf_dir, "tx_orders").scored)
+
+
+@det_register("j2_top_anomalies", "tx_events", """
+    SELECT a.transaction_id, a.anomaly_score, a.detection_method, rt.amount, rt.class AS is_fraud
+    FROM an a LEFT JOIN tx_events rt ON a.transaction_id = rt.transaction_id
+    ORDER BY a.anomaly_score ASC NULLS FIRST, a.transaction_id LIMIT 200""")
+def j2_top_anomalies(spark, sf_dir):
+    d = _detect(spark, sf_dir, "tx_events")
+    return RP.top_anomalies(DT.anomalies(d), _tx(spark, sf_dir, "tx_events"), 200)
+
+
+@det_register("j3_transactions_left_anomalies", "tx_events", """
+    SELECT rt.transaction_id, rt.amount, rt.class, a.anomaly_score
+    FROM tx_events rt LEFT JOIN an a ON rt.transaction_id = a.transaction_id""")
+def j3_transactions_left_anomalies(spark, sf_dir):
+    d = _detect(spark, sf_dir, "tx_events")
+    tx = _tx(spark, sf_dir, "tx_events").select("transaction_id", "amount", "class")
+    return tx.join(DT.anomalies(d).select("transaction_id", "anomaly_score"), "transaction_id", "left")
+
+
+@det_register("j4_frauds_detected", "tx_events", """
+    SELECT CAST(count(*) AS BIGINT) AS frauds_detected
+    FROM an a JOIN tx_events rt ON a.transaction_id = rt.transaction_id WHERE rt.class = 1""")
+def j4_frauds_detected(spark, sf_dir):
+    d = _detect(spark, sf_dir, "tx_events")
+    return RP.frauds_detected(_tx(spark, sf_dir, "tx_events"), DT.anomalies(d))
+
+
+@register("j5_orphan_lineitems", """
+    SELECT l_orderkey, l_linenumber FROM lineitem l
+    WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)""")
+def j5_orphan_lineitems(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("transaction_id"), "l_linenumber")
+    parent = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("transaction_id"))
+    return RP.orphans(li, parent).select(F.col("transaction_id").alias("l_orderkey"), "l_linenumber")
+
+
+@register("j5_orphan_results", f"""
+    SELECT vr.transaction_id, vr.rule_name FROM {long_sql('tx_docs')} vr
+    WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = vr.transaction_id)""")
+def j5_orphan_results(spark, sf_dir):
+    res = R.evaluate(view(spark, sf_dir, "tx_docs")).select("transaction_id", "rule_name")
+    parent = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("transaction_id"))
+    return RP.orphans(res, parent)
+
+
+@det_register("w1_top15_one_feature", "tx_events", """
+    SELECT transaction_id, amount, region, round(decision, 6) AS anomaly_score FROM scored WHERE flagged
+    ORDER BY decision ASC NULLS FIRST, transaction_id LIMIT 15""", features=["amount"], scale=False, where=VALID_AMOUNT)
+def w1_top15_one_feature(spark, sf_dir):
+    d = _detect(spark, sf_dir, "tx_events", ["amount"], scale=False, valid_amount=True)
+    top = d.scored.where(F.col("flagged")).orderBy(F.col("decision").asc_nulls_first(), "transaction_id").limit(15)
+    return top.select("transaction_id", "amount", "region", F.round("decision", 6).alias("anomaly_score"))
+
+
+@det_register("f4_console_top10", "tx_events", """
+    SELECT a.transaction_id,
+           CASE WHEN rt.amount < 0 THEN '-' ELSE '' END || '$' || format('{:,.2f}', abs(round(rt.amount, 2))) AS amount_text,
+           printf('%.4f', round(a.anomaly_score, 4)) AS score_text,
+           CASE WHEN rt.class = 1 THEN 'FRAUD' ELSE 'Normal' END AS label
+    FROM an a LEFT JOIN tx_events rt ON a.transaction_id = rt.transaction_id
+    ORDER BY a.anomaly_score ASC NULLS FIRST, a.transaction_id LIMIT 10""")
+def f4_console_top10(spark, sf_dir):
+    d = _detect(spark, sf_dir, "tx_events")
+    return RP.console_top(DT.anomalies(d), _tx(spark, sf_dir, "tx_events"), 10)
+
+
+def _DAY_SPARK():
+    return F.expr("date_add(DATE'1998-01-01', CAST(floor(time_elapsed / 86400) AS INT))")
+
+
+_DAY_SQL = "CAST(DATE '1998-01-01' + CAST(floor(time_elapsed / 86400) AS INTEGER) AS DATE)"
+
+
+def _history_sql(view_name: str) -> str:
+    rs = rule_sql(view_name)
+    failed = " + ".join(f"CASE WHEN {e} THEN 0 ELSE 1 END" for e in rs.values())
+    return f"""SELECT record_date, round(100 * (1 - failed_checks::DOUBLE / (total_rows * {len(rs)})), 2) AS quality_score,
+                      total_rows, failed_checks
+               FROM (SELECT {_DAY_SQL} AS record_date, CAST(count(*) AS BIGINT) AS total_rows,
+                            CAST(sum({failed}) AS BIGINT) AS failed_checks
+                     FROM {view_name} GROUP BY 1)"""
+
+
+@register("w3_history_ordered", _history_sql("tx_orders") + " ORDER BY record_date NULLS FIRST")
+def w3_history_ordered(spark, sf_dir):
+    return RP.history_ordered(RP.history_by_day(view(spark, sf_dir, "tx_orders"), _DAY_SPARK()))
+
+
+@register("w4_latest_score", f"""
+    SELECT arg_max(quality_score, record_date) AS quality_score, max(record_date) AS record_date
+    FROM ({_history_sql('tx_orders')})""")
+def w4_latest_score(spark, sf_dir):
+    return RP.latest_score(RP.history_by_day(view(spark, sf_dir, "tx_orders"), _DAY_SPARK()))
+
+
+@register("w5_head", "SELECT * FROM tx_events ORDER BY transaction_id LIMIT 10")
+def w5_head(spark, sf_dir):
+    return RP.head(view(spark, sf_dir, "tx_events"), 10)
+
+
+def _EV_DAY_SPARK():
+    return F.expr("date_add(DATE'2024-01-01', CAST(floor(time_elapsed / 86400) AS INT))")
+
+
+def _overview_sql() -> str:
+    rs = rule_sql("tx_events")
+    failed = " + ".join(f"CASE WHEN {e} THEN 0 ELSE 1 END" for e in rs.values())
+    hist = _history_sql("tx_events").replace("DATE '1998-01-01'", "DATE '2024-01-01'")
+    body = f"""
+        SELECT CAST(count(*) AS BIGINT) AS total_records, CAST(count(*) * {len(rs)} AS BIGINT) AS total_checks,
+               CAST(sum({failed}) AS BIGINT) AS failed_checks,
+               CAST(count(*) * {len(rs)} - sum({failed}) AS BIGINT) AS passed_checks,
+               (SELECT arg_max(quality_score, record_date) FROM ({hist})) AS quality_score,
+               CAST(count_if(flagged) AS BIGINT) AS anomaly_count,
+               CAST(count_if(coalesce(class = 1, false)) AS BIGINT) AS total_frauds,
+               CAST(count_if(flagged AND coalesce(class = 1, false)) AS BIGINT) AS frauds_detected
+        FROM scored"""
+    return with_ctes(det_ctes("tx_events", _EV), body)
+
+
+@register("a7_overview", _overview_sql(), raw=True)
+def a7_overview(spark, sf_dir):
+    d = _detect(spark, sf_dir, "tx_events")
+    latest = RP.latest_score(RP.history_by_day(view(spark, sf_dir, "tx_events"), _EV_DAY_SPARK()))
+    return RP.overview_scored(d.scored, latest)
+
+
+@register("p2_label_filter", "SELECT transaction_id, amount FROM tx_events WHERE class = 1")
+def p2_label_filter(spark, sf_dir):
+    return view(spark, sf_dir, "tx_events").where(F.col("class") == 1).select("transaction_id", "amount")
+
+
+@det_register("p5_flagged_normal_split", "tx_events", """
+    SELECT CASE WHEN flagged THEN -1 ELSE 1 END AS prediction, CAST(count(*) AS BIGINT) AS n
+    FROM scored WHERE path_units IS NOT NULL GROUP BY 1""")
+def p5_flagged_normal_split(spark, sf_dir):
+    p = RP.predictions(_detect(spark, sf_dir, "tx_events").scored)
+    return p.where(F.col("prediction").isNotNull()).groupBy("prediction").agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
+@register("p6_feature_selection", f"SELECT transaction_id, {', '.join(_EV)} FROM tx_events")
+def p6_feature_selection(spark, sf_dir):
+    return view(spark, sf_dir, "tx_events").select("transaction_id", *_EV)
+
+
+@det_register("p7_constant_column", "tx_events", "SELECT transaction_id, detection_method FROM an")
+def p7_constant_column(spark, sf_dir):
+    return DT.anomalies(_detect(spark, sf_dir, "tx_events")).select("transaction_id", "detection_method")
+
+
+@register("p8_renaming_projection", "SELECT transaction_id, class AS is_fraud FROM tx_orders")
+def p8_renaming_projection(spark, sf_dir):
+    return view(spark, sf_dir, "tx_orders").select("transaction_id", F.col("class").alias("is_fraud"))
+
+
+@det_register("p9_flag_status", "tx_events", """
+    SELECT rt.transaction_id, CASE WHEN a.id IS NOT NULL THEN 'Flagged' ELSE 'Not Flagged' END AS status
+    FROM tx_events rt LEFT JOIN an a ON rt.transaction_id = a.transaction_id""")
+def p9_flag_status(spark, sf_dir):
+    d = _detect(spark, sf_dir, "tx_events")
+    return RP.flag_status(_tx(spark, sf_dir, "tx_events"), DT.anomalies(d))
+
+
+@register("p10_amount_bucket", f"SELECT transaction_id, {sql_bucketize('amount')} AS amount_range FROM tx_acct")
+def p10_amount_bucket(spark, sf_dir):
+    return RP.amount_buckets(view(spark, sf_dir, "tx_acct")).select("transaction_id", "amount_range")
+
+
+@register("p11_label_text",
+          "SELECT transaction_id, CASE WHEN class = 1 THEN 'FRAUD' ELSE 'Normal' END AS label FROM tx_events")
+def p11_label_text(spark, sf_dir):
+    from vigil.functions.fmt import label_text
+    return view(spark, sf_dir, "tx_events").select("transaction_id", label_text("class").alias("label"))
+
+
+@det_register("p12_scatter", "tx_events", """
+    SELECT transaction_id, amount, round(decision, 6) AS anomaly_score, flagged, class AS is_fraud FROM scored""")
+def p12_scatter(spark, sf_dir):
+    return RP.scatter(_detect(spark, sf_dir, "tx_events").scored)
