@@ -749,3 +749,169 @@ def p11_label_text(spark, sf_dir):
     SELECT transaction_id, amount, round(decision, 6) AS anomaly_score, flagged, class AS is_fraud FROM scored""")
 def p12_scatter(spark, sf_dir):
     return RP.scatter(_detect(spark, sf_dir, "tx_events").scored)
+
+
+# --------------------------------------------------------------------------
+# Sources and sinks, queried as write-then-read-back
+# --------------------------------------------------------------------------
+from vigil import schemas as SCH  # noqa: E402
+from vigil.functions.nulls import nan_to_null  # noqa: E402
+from vigil.session import scratch_dir  # noqa: E402
+from vigil.sources import csv as CSV  # noqa: E402
+from vigil.sources import tables as TB  # noqa: E402
+from vigil.sources.ids import with_dense_id  # noqa: E402
+
+_CARD_N = 3   # the events view offers three anonymous features v1..v3
+
+
+def _card_layout(df):
+    """tx_events in the card CSV layout: Time, V1..V3, Amount, Class."""
+    return df.select(F.col("time_elapsed").alias("Time"), *[F.col(f"v{i}").alias(f"V{i}") for i in range(1, _CARD_N + 1)],
+                     F.col("amount").alias("Amount"), F.col("class").cast("double").alias("Class"))
+
+
+def _card_csv(spark, sf_dir) -> str:
+    path = scratch_dir(spark, "card_csv")
+    CSV.write_csv(_card_layout(view(spark, sf_dir, "tx_events")), path)
+    return path
+
+
+_CARD_SQL_COLS = ('time_elapsed AS "Time", v1 AS "V1", v2 AS "V2", v3 AS "V3", amount AS "Amount", '
+                  'CAST(class AS DOUBLE) AS "Class"')
+
+
+@register("s1_csv_scan", f"SELECT {_CARD_SQL_COLS} FROM tx_events")
+def s1_csv_scan(spark, sf_dir):
+    return CSV.read_csv(spark, _card_csv(spark, sf_dir), SCH.card_csv_schema(_CARD_N))
+
+
+@register("s2_dense_ids", "SELECT event_id + 1 AS transaction_id, event_id FROM events")
+def s2_dense_ids(spark, sf_dir):
+    return with_dense_id(table(spark, sf_dir, "events").select("event_id"))
+
+
+@register("s3_rename_columns",
+          "SELECT time_elapsed, v1, v2, v3, amount, CAST(class AS DOUBLE) AS class FROM tx_events")
+def s3_rename_columns(spark, sf_dir):
+    return CSV.read_card_csv(spark, _card_csv(spark, sf_dir), _CARD_N)
+
+
+@register("s4_typed_narrowing", """
+    SELECT CAST(CAST(time_elapsed AS FLOAT) AS DOUBLE) AS time_elapsed,
+           CAST(CAST(v1 AS FLOAT) AS DOUBLE) AS v1, CAST(CAST(v2 AS FLOAT) AS DOUBLE) AS v2,
+           CAST(CAST(v3 AS FLOAT) AS DOUBLE) AS v3,
+           CAST(CAST(amount AS DECIMAL(12, 2)) AS DOUBLE) AS amount, CAST(class AS INTEGER) AS class
+    FROM tx_events""")
+def s4_typed_narrowing(spark, sf_dir):
+    card = CSV.read_card_csv(spark, _card_csv(spark, sf_dir), _CARD_N)
+    raw = CSV.to_raw_table(card.withColumn("transaction_id", F.lit(0).cast("long")), _CARD_N)
+    return raw.select(*[F.col(c).cast("double").alias(c) for c in ["time_elapsed", "v1", "v2", "v3", "amount"]],
+                      F.col("class").cast("int").alias("class"))
+
+
+def _results_sql(view_name: str) -> str:
+    parts = [f"SELECT transaction_id * 5 + {i} AS id, transaction_id, '{n}' AS rule_name, {e} AS rule_passed FROM {view_name}"
+             for i, (n, e) in enumerate(rule_sql(view_name).items())]
+    return " UNION ALL ".join(parts)
+
+
+@register("s5_define_tables", _results_sql("tx_docs"))
+def s5_define_tables(spark, sf_dir):
+    root = scratch_dir(spark, "tables")
+    paths = TB.create_tables(spark, root)
+    TB.write_table(R.results_table(view(spark, sf_dir, "tx_docs")), paths["validation_results"],
+                   mode="append", schema=SCH.VALIDATION_RESULTS)
+    return TB.read_table(spark, paths["validation_results"], schema=SCH.VALIDATION_RESULTS)
+
+
+@register("s6_full_refresh", _results_sql("tx_docs"))
+def s6_full_refresh(spark, sf_dir):
+    path = scratch_dir(spark, "validation_results")
+    res = R.results_table(view(spark, sf_dir, "tx_docs"))
+    TB.write_table(res, path, mode="overwrite", schema=SCH.VALIDATION_RESULTS)
+    TB.write_table(res, path, mode="overwrite", schema=SCH.VALIDATION_RESULTS)   # a re-run replaces, never doubles
+    return TB.read_table(spark, path, schema=SCH.VALIDATION_RESULTS)
+
+
+def _history_row_sql(view_name: str, day: str) -> str:
+    rs = rule_sql(view_name)
+    failed = " + ".join(f"CASE WHEN {e} THEN 0 ELSE 1 END" for e in rs.values())
+    return f"""SELECT DATE '{day}' AS record_date,
+                      round(100 * (1 - failed_checks::DOUBLE / (total_rows * {len(rs)})), 2) AS quality_score,
+                      total_rows, failed_checks
+               FROM (SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(sum({failed}) AS BIGINT) AS failed_checks
+                     FROM {view_name}) WHERE total_rows > 0"""
+
+
+@register("s7_append_history",
+          _history_row_sql("tx_docs", "2024-06-30") + " UNION ALL " + _history_row_sql("tx_acct", "2024-07-01"))
+def s7_append_history(spark, sf_dir):
+    path = scratch_dir(spark, "data_quality_history")
+    TB.create_tables(spark, path.rsplit("/", 1)[0] + "/" + path.rsplit("/", 1)[1], {"h": SCH.QUALITY_HISTORY})
+    hpath = TB.table_path(path, "h")
+    TB.write_table(Q.history_row(view(spark, sf_dir, "tx_docs"), record_date="2024-06-30"), hpath,
+                   mode="append", schema=SCH.QUALITY_HISTORY)
+    TB.write_table(Q.history_row(view(spark, sf_dir, "tx_acct"), record_date="2024-07-01"), hpath,
+                   mode="append", schema=SCH.QUALITY_HISTORY)
+    return TB.read_table(spark, hpath, schema=SCH.QUALITY_HISTORY)
+
+
+@register("s8_chunked_write", summary_sql("tx_orders"))
+def s8_chunked_write(spark, sf_dir):
+    path = scratch_dir(spark, "results_chunked")
+    TB.write_table(R.results_table(view(spark, sf_dir, "tx_orders")), path, mode="overwrite",
+                   schema=SCH.VALIDATION_RESULTS, max_records_per_file=10000)
+    return Q.summary_long(TB.read_table(spark, path, ["rule_name", "rule_passed"]))
+
+
+def _stored_events(spark, sf_dir) -> str:
+    path = scratch_dir(spark, "raw_transactions")
+    TB.write_table(view(spark, sf_dir, "tx_events"), path, mode="overwrite")
+    return path
+
+
+@register("s9_pruned_scan", "SELECT transaction_id, amount, v1, v2, v3, class FROM tx_events")
+def s9_pruned_scan(spark, sf_dir):
+    return TB.read_table(spark, _stored_events(spark, sf_dir), ["transaction_id", "amount", "v1", "v2", "v3", "class"])
+
+
+@register("s10_full_scan", "SELECT * FROM tx_events")
+def s10_full_scan(spark, sf_dir):
+    return TB.read_table(spark, _stored_events(spark, sf_dir))
+
+
+_SUMMARY_SCHEMA = "rule_name string, passed long, failed long"
+
+
+@register("s11_json_report", summary_sql("tx_acct"))
+def s11_json_report(spark, sf_dir):
+    path = scratch_dir(spark, "validation_summary_json")
+    TB.write_report(Q.summary_fused(view(spark, sf_dir, "tx_acct")), path, order_by=["rule_name"])
+    from pyspark.sql import types as T
+    schema = T._parse_datatype_string(_SUMMARY_SCHEMA)
+    return TB.read_json_report(spark, path, schema)
+
+
+@register("s12_nan_to_null", """
+    SELECT transaction_id, CASE WHEN amount < 0 OR amount > 9000 THEN NULL ELSE amount END AS ratio FROM tx_acct""")
+def s12_nan_to_null(spark, sf_dir):
+    df = view(spark, sf_dir, "tx_acct")
+    ratio = (F.when(F.col("amount") < 0, F.lit(float("nan")))
+              .when(F.col("amount") > 9000, F.lit(float("inf"))).otherwise(F.col("amount")))
+    return nan_to_null(df.select("transaction_id", ratio.alias("ratio")))
+
+
+@register("s13_bi_handoff", summary_sql("tx_orders"))
+def s13_bi_handoff(spark, sf_dir):
+    path = scratch_dir(spark, "bi_validation_summary")
+    TB.publish(Q.summary_fused(view(spark, sf_dir, "tx_orders")), path)
+    return TB.read_table(spark, path)
+
+
+# A CSV field holds no difference between blank and missing: blank dates read back as NULL.
+@register_dirty("g7_sample_csv", """SELECT transaction_id, nullif(transaction_date, '') AS transaction_date,
+                                           customer_id, amount, region FROM tx_dirty""")
+def g7_sample_csv(spark, sf_dir):
+    path = scratch_dir(spark, "sample_transactions_csv")
+    CSV.write_csv(tx_dirty(spark, sf_dir).select(*_DIRTY_COLS.split(", ")), path)
+    return CSV.read_csv(spark, path, SCH.SAMPLE_TRANSACTIONS)

@@ -132,3 +132,18 @@ def window_unique_flag(df: DataFrame, key: str, name: str = "unique_id") -> Data
     """Same result as `unique_key_rule` with a window; fine for well-spread keys."""
     w = Window.partitionBy(key)
     return df.withColumn(name, F.col(key).isNotNull() & (F.count(F.lit(1)).over(w) == 1))
+
+
+def results_table(df: DataFrame, rules=DEFAULT_RULES, id_col: str = "transaction_id") -> DataFrame:
+    """Stored check results (id, transaction_id, rule_name, rule_passed).
+
+    id = transaction_id * len(rules) + rule position: one unique key per
+    (row, rule) without a numbering pass.
+    """
+    triples = ", ".join(f"'{r.name}', {i}, `{r.name}`" for i, r in enumerate(rules))
+    wide = evaluate_wide(df, rules, keep=[id_col])
+    return wide.select(
+        F.col(id_col).cast("long").alias("transaction_id"),
+        F.expr(f"stack({len(rules)}, {triples}) AS (rule_name, _pos, rule_passed)"),
+    ).select((F.col("transaction_id") * len(rules) + F.col("_pos")).cast("long").alias("id"),
+             "transaction_id", "rule_name", "rule_passed")
