@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vigil.operators import iforest as IF
 from vigil.operators.profile import order_statistics
-from vigil.operators.scaling import apply_scaler, fit_scaler
+from vigil.operators.scaling import apply_scaler, fit_scaler, scaler_aggs
 from vigil.session import checkpoint_root
 
 METHOD = "IsolationForest"
@@ -70,13 +70,17 @@ def detect(df: DataFrame, features: list[str], id_col: str = "transaction_id",
     Rows with a missing feature get NULL scores and are never flagged.
     """
     zcols = [f"z_{c}" for c in features]
+    complete = IF.complete_rows(df, features)
+    # One aggregate sizes the sample and, when scaling, fits the scaler.
+    aggs = IF.sample_stats_aggs(params, id_col) + (scaler_aggs(complete, features) if scale else [])
+    stats = complete.agg(*aggs).first()
     if scale:
-        sp = fit_scaler(IF.complete_rows(df, features), features)
+        sp = fit_scaler(complete, features, stats)
         prepared = apply_scaler(df.select("*", *[F.col(c).alias(z) for c, z in zip(features, zcols)]),
                                 {z: sp[c] for c, z in zip(features, zcols)})
     else:
         prepared = df.select("*", *[F.col(c).cast("double").alias(z) for c, z in zip(features, zcols)])
-    forest = IF.fit(prepared, id_col, zcols, params)
+    forest = IF.fit(prepared, id_col, zcols, params, stats)
     scored = IF.score(prepared, forest).drop(*zcols)
     if checkpoint:
         checkpoint_root(df.sparkSession)

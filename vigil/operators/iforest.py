@@ -33,7 +33,6 @@ from vigil.functions.nulls import present
 
 EULER_GAMMA = 0.5772156649015329
 UNITS = 1e9                    # path length fixed point: 1e-9
-PREFILTER_MARGIN = 4.0         # hash pre-filter keeps ~4x the needed rows
 
 
 @dataclass(frozen=True)
@@ -81,20 +80,51 @@ def complete_rows(df: DataFrame, features: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ sample
-def sample(df: DataFrame, id_col: str, features: list[str], p: ForestParams) -> tuple[DataFrame, int, int]:
-    """Training rows (tree, id, features...) plus (n, psi)."""
+HASH_LEVELS = 40   # pre-filter thresholds 2**-1 .. 2**-40 of the row draw
+
+
+def sample_stats_aggs(p: ForestParams, id_col: str = "_id") -> list:
+    """Aggregates that size the sample: row count and rows under each hash level.
+
+    They ride along in the same aggregate as the scaling statistics, so the
+    sample needs no counting pass of its own.
+    """
+    u = uniform(p.seed, F.col(id_col))
+    return [F.count(F.lit(1)).alias("_n")] + [
+        F.count_if(u < F.lit(2.0 ** -j)).alias(f"_lvl{j}") for j in range(1, HASH_LEVELS + 1)]
+
+
+def _prefilter(stats, k: int) -> float:
+    """Smallest 2**-j keeping at least k rows under it (1.0 = no filter)."""
+    t = 1.0
+    for j in range(1, HASH_LEVELS + 1):
+        if stats[f"_lvl{j}"] >= k:
+            t = 2.0 ** -j
+        else:
+            break
+    return t
+
+
+def sample(df: DataFrame, id_col: str, features: list[str], p: ForestParams, stats=None) -> tuple[DataFrame, int, int]:
+    """Training rows (tree, _id, features...) plus (n, psi).
+
+    `stats` (a Row of `sample_stats_aggs` over the complete rows) saves the
+    counting pass when the caller already aggregated the input.
+    """
     base = complete_rows(df, features).select(F.col(id_col).alias("_id"), *features)
-    n = base.count()
+    if stats is None:
+        stats = base.agg(*sample_stats_aggs(p)).first()
+    n = stats["_n"]
     if n == 0:
         raise ValueError("no complete rows to train on")
     psi = min(p.sample_size, n)
     k = p.trees * psi
     if n >= k:
-        t = min(1.0, PREFILTER_MARGIN * k / n + 1e-6)
-        keyed = base.withColumn("_h", md5_hex(p.seed, F.col("_id"))).withColumn("_u", uniform(p.seed, F.col("_id")))
-        cand = keyed.where(F.col("_u") < F.lit(t)) if t < 1.0 else keyed
-        if t < 1.0 and cand.count() < k:   # not enough under the pre-filter: exact fallback
-            cand = keyed
+        # Every one of the k lowest hashes lies under t (at least k rows do), so the
+        # filter changes nothing but keeps the top-k gather near k rows per task.
+        t = _prefilter(stats, k)
+        keyed = base.withColumn("_h", md5_hex(p.seed, F.col("_id")))
+        cand = keyed.where(uniform(p.seed, F.col("_id")) < F.lit(t)) if t < 1.0 else keyed
         top = cand.orderBy("_h", "_id").limit(k)
         # The window runs over the k gathered rows only (bounded by trees * psi).
         rk = F.row_number().over(Window.orderBy("_h", "_id"))
@@ -169,8 +199,8 @@ class Forest:
         return c_factor(self.psi)
 
 
-def fit(df: DataFrame, id_col: str, features: list[str], p: ForestParams = ForestParams()) -> Forest:
-    training, n, psi = sample(df, id_col, features, p)
+def fit(df: DataFrame, id_col: str, features: list[str], p: ForestParams = ForestParams(), stats=None) -> Forest:
+    training, n, psi = sample(df, id_col, features, p, stats)
     nodes = grow(training, features, psi, p.seed)
     rows = nodes.collect()   # bounded: at most trees * (2 psi - 1) rows
     depth = max_depth(psi)

@@ -13,12 +13,18 @@ from pyspark.sql import functions as F
 from vigil.operators.profile import clean
 
 
-def fit_scaler(df: DataFrame, features: list[str]) -> dict[str, tuple[float, float]]:
+def scaler_aggs(df: DataFrame, features: list[str]) -> list:
     aggs = []
     for c in features:
         x = clean(df, c)
         aggs += [F.avg(x).alias(f"{c}__m"), F.stddev_pop(x).alias(f"{c}__s")]
-    row = df.agg(*aggs).first()
+    return aggs
+
+
+def fit_scaler(df: DataFrame, features: list[str], row=None) -> dict[str, tuple[float, float]]:
+    """Means and population deviations; `row` may hold `scaler_aggs` results already."""
+    if row is None:
+        row = df.agg(*scaler_aggs(df, features)).first()
     out = {}
     for c in features:
         m, s = row[f"{c}__m"], row[f"{c}__s"]
