@@ -73,7 +73,8 @@ def report_array(df: DataFrame, order_by: list[str]) -> DataFrame:
     per-bucket rows); the records are gathered into one value by design.
     """
     clean = nan_to_null(df)
-    fields = [F.col(c) for c in clean.columns]
+    # Columns named with a leading underscore only order the records.
+    fields = [F.col(c) for c in clean.columns if not c.startswith("_")]
     keyed = clean.select(F.struct(*[F.col(c) for c in order_by]).alias("_k"), F.struct(*fields).alias("_r"))
     return keyed.agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("_k", "_r"))),
                                            lambda e: e["_r"]), {"ignoreNullFields": "false"}).alias("value"))
