@@ -6,6 +6,14 @@ statistics, plain Python values). Nothing passes whole tables through the
 driver.
 """
 
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
 from vigil.session import get_spark, scratch_dir
 
+# The pandas UDFs (tree growth, scoring) are defined in this package. Pickle
+# its functions by value so executors need no installed copy of it.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 __all__ = ["get_spark", "scratch_dir"]
