@@ -2,9 +2,10 @@
 flag, and the evaluation figures (metrics against labels, contamination
 sweep, flagged share).
 
-The scored frame is checkpointed into the shared checkpoint folder: it feeds
-the cut (order statistics) and every report, and recomputing the UDF pass
-per consumer would repeat the most expensive stage.
+The scored frame is written as a Parquet table under the shared checkpoint
+folder: it feeds the cut (order statistics) and every report, recomputing
+the UDF pass per consumer would repeat the most expensive stage, and a
+columnar copy lets the cut read one column instead of whole rows.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from vigil.operators import iforest as IF
 from vigil.operators.profile import order_statistics
 from vigil.operators.scaling import apply_scaler, fit_scaler, scaler_aggs
-from vigil.session import checkpoint_root
+from vigil.session import scratch_dir
 
 METHOD = "IsolationForest"
 
@@ -62,6 +63,20 @@ def cut_for(scored: DataFrame, forest: IF.Forest, rates: list[float], n: int | N
     return out, n
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread an under-partitioned input over the cluster's cores.
+
+    A file written as one large row group scans as one partition, and the
+    scoring UDF would then run in a single task. Inputs that already have at
+    least `defaultParallelism` partitions (any large table) pass unchanged,
+    so at scale this adds no shuffle.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key)
+
+
 def detect(df: DataFrame, features: list[str], id_col: str = "transaction_id",
            params: IF.ForestParams = IF.ForestParams(), scale: bool = True, method: str = METHOD,
            checkpoint: bool = True) -> Detection:
@@ -72,8 +87,8 @@ def detect(df: DataFrame, features: list[str], id_col: str = "transaction_id",
     zcols = [f"z_{c}" for c in features]
     complete = IF.complete_rows(df, features)
     # One aggregate sizes the sample and, when scaling, fits the scaler.
-    aggs = IF.sample_stats_aggs(params, id_col) + (scaler_aggs(complete, features) if scale else [])
-    stats = complete.agg(*aggs).first()
+    aggs = IF.sample_stats_aggs() + (scaler_aggs(complete, features) if scale else [])
+    stats = IF.with_draw(complete, params, id_col).agg(*aggs).first()
     if scale:
         sp = fit_scaler(complete, features, stats)
         prepared = apply_scaler(df.select("*", *[F.col(c).alias(z) for c, z in zip(features, zcols)]),
@@ -81,10 +96,12 @@ def detect(df: DataFrame, features: list[str], id_col: str = "transaction_id",
     else:
         prepared = df.select("*", *[F.col(c).cast("double").alias(z) for c, z in zip(features, zcols)])
     forest = IF.fit(prepared, id_col, zcols, params, stats)
-    scored = IF.score(prepared, forest).drop(*zcols)
+    scored = IF.score(spread(prepared, id_col), forest).drop(*zcols)
     if checkpoint:
-        checkpoint_root(df.sparkSession)
-        scored = scored.checkpoint(eager=True)
+        spark = df.sparkSession
+        path = scratch_dir(spark, "scored")
+        scored.write.parquet(path)
+        scored = spark.read.parquet(path)
     (t_units, cut_raw), n = (lambda r: (r[0][0], r[1]))(cut_for(scored, forest, [params.contamination]))
     scored = scored.withColumn("decision", F.col("raw_score") - F.lit(cut_raw).cast("double")) \
                    .withColumn("flagged", F.coalesce(F.col("path_units") < F.lit(t_units), F.lit(False)))

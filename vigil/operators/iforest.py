@@ -83,13 +83,18 @@ def complete_rows(df: DataFrame, features: list[str]) -> DataFrame:
 HASH_LEVELS = 40   # pre-filter thresholds 2**-1 .. 2**-40 of the row draw
 
 
-def sample_stats_aggs(p: ForestParams, id_col: str = "_id") -> list:
-    """Aggregates that size the sample: row count and rows under each hash level.
+def with_draw(df: DataFrame, p: ForestParams, id_col: str = "_id") -> DataFrame:
+    """Adds `_u`, the row's sample draw, so the level counts hash each row once."""
+    return df.withColumn("_u", uniform(p.seed, F.col(id_col)))
+
+
+def sample_stats_aggs() -> list:
+    """Aggregates (over `with_draw` rows) that size the sample: row count and rows under each hash level.
 
     They ride along in the same aggregate as the scaling statistics, so the
     sample needs no counting pass of its own.
     """
-    u = uniform(p.seed, F.col(id_col))
+    u = F.col("_u")
     return [F.count(F.lit(1)).alias("_n")] + [
         F.count_if(u < F.lit(2.0 ** -j)).alias(f"_lvl{j}") for j in range(1, HASH_LEVELS + 1)]
 
@@ -113,7 +118,7 @@ def sample(df: DataFrame, id_col: str, features: list[str], p: ForestParams, sta
     """
     base = complete_rows(df, features).select(F.col(id_col).alias("_id"), *features)
     if stats is None:
-        stats = base.agg(*sample_stats_aggs(p)).first()
+        stats = with_draw(base, p).agg(*sample_stats_aggs()).first()
     n = stats["_n"]
     if n == 0:
         raise ValueError("no complete rows to train on")
@@ -165,8 +170,16 @@ def _grow_one(X: np.ndarray, tree: int, psi: int, seed: int) -> list[tuple]:
     return rows
 
 
-def grow(training: DataFrame, features: list[str], psi: int, seed: int) -> DataFrame:
-    """Node table, one applyInPandas task per tree."""
+def grow(training: DataFrame, features: list[str], psi: int, seed: int, trees: int | None = None) -> DataFrame:
+    """Node table, one applyInPandas group per tree.
+
+    With `trees` given, the training rows are hash-partitioned into
+    min(trees, cores) partitions first: the input is tiny (trees * psi rows)
+    but each group is CPU work, and an explicit partition count is not
+    coalesced by AQE into a single task. On a cluster with more cores than
+    trees that is one tree per task. The grouping reuses this partitioning
+    (no second exchange).
+    """
 
     def per_tree(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
@@ -177,6 +190,9 @@ def grow(training: DataFrame, features: list[str], psi: int, seed: int) -> DataF
             out[c] = out[c].astype("Int64")
         return out
 
+    if trees:
+        cores = training.sparkSession.sparkContext.defaultParallelism
+        training = training.repartition(max(1, min(trees, cores)), "tree")
     return training.groupBy("tree").applyInPandas(per_tree, schema=NODE_SCHEMA)
 
 
@@ -201,7 +217,7 @@ class Forest:
 
 def fit(df: DataFrame, id_col: str, features: list[str], p: ForestParams = ForestParams(), stats=None) -> Forest:
     training, n, psi = sample(df, id_col, features, p, stats)
-    nodes = grow(training, features, psi, p.seed)
+    nodes = grow(training, features, psi, p.seed, p.trees)
     rows = nodes.collect()   # bounded: at most trees * (2 psi - 1) rows
     depth = max_depth(psi)
     slots = 2 ** (depth + 1)
