@@ -53,3 +53,16 @@ def test_histogram_last_bin_closed(spark):
 def test_empty_quantiles(spark):
     df = spark.createDataFrame([], "x double")
     assert PR.quantiles(df, "x", [0.5]) == [None]
+
+
+def test_batched_selection_many_rounds(spark, monkeypatch):
+    # Tiny bins and collect limit force several rounds; ranks share and split bins.
+    df = spark.range(0, 5000).select(
+        (F.abs(F.hash("id")) % 997 + F.when(F.col("id") % 7 == 0, F.lit(0.5)).otherwise(0.0)).cast("double").alias("x"))
+    monkeypatch.setattr(PR, "SELECT_BINS", 4)
+    monkeypatch.setattr(PR, "SELECT_COLLECT_LIMIT", 20)
+    vals = sorted(r["x"] for r in df.collect())
+    ks = [0, 1, 2, 1250, 1251, 2499, 2500, 4998, 4999]
+    assert PR.order_statistics(df, "x", ks, limit=0) == [vals[k] for k in ks]
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    assert PR.quantiles(df, "x", probs, limit=0) == PR.quantiles(df, "x", probs)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from vigil.functions.nulls import is_floating
 
@@ -40,47 +41,93 @@ def _interpolate(vlo: float, vhi: float, frac: float) -> float:
     return vlo + (vhi - vlo) * frac
 
 
-def _kth_value(values: DataFrame, k: int, lo: float, hi: float) -> float:
-    """Exact k-th smallest (0-based) of column `x` in `values`, by histogram refinement.
+def _interval_id(bounds: list[tuple[float, float]]) -> Column:
+    """Index of the (disjoint, closed) interval holding `x`, else NULL."""
+    x = F.col("x")
+    out = None
+    for i, (a, b) in enumerate(bounds):
+        cond = (x >= F.lit(a)) & (x <= F.lit(b))
+        out = F.when(cond, F.lit(i)) if out is None else out.when(cond, F.lit(i))
+    return out
+
 
-    Each round is one scan with a range filter and a `SELECT_BINS`-row
-    aggregate; a bin whose values are all equal ends the search at once, so
-    a value held by a large share of rows costs no extra round.
+def _kth_values(values: DataFrame, ks: list[int], lo: float, hi: float) -> dict[int, float]:
+    """Exact k-th smallest values (0-based ranks `ks`) of column `x`, by histogram refinement.
+
+    Each round is one scan for all open ranks: every open rank lies in an
+    interval, intervals of different ranks are equal or disjoint (bins of
+    bins), and one aggregate bins each interval into `SELECT_BINS` bins. A bin
+    whose values are all equal ends its ranks at once, so a value held by a
+    large share of rows costs no extra round. Bins of at most
+    `SELECT_COLLECT_LIMIT` values are finished together in one job that ranks
+    the values inside each bin (a window partitioned by bin, so no task sorts
+    more than that many values).
     """
-    below = 0
-    while True:
-        part = values.where((F.col("x") >= F.lit(lo)) & (F.col("x") <= F.lit(hi)))
-        if lo == hi:
-            return lo
-        width = hi - lo
-        b = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width) * F.lit(SELECT_BINS)),
-                    F.lit(SELECT_BINS - 1)).cast("int")
-        bins = (part.groupBy(b.alias("b"))
-                    .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                    .orderBy("b").collect())
-        r = k - below
-        for row in bins:
-            if r < row["n"]:
-                if row["mn"] == row["mx"]:
-                    return row["mn"]
-                if row["n"] <= SELECT_COLLECT_LIMIT:
-                    rest = (values.where((F.col("x") >= F.lit(row["mn"])) & (F.col("x") <= F.lit(row["mx"])))
-                                  .orderBy("x").offset(r).limit(1).collect())
-                    return rest[0]["x"]
-                lo, hi = row["mn"], row["mx"]
-                break
-            r -= row["n"]
-            below += row["n"]
-        else:  # pragma: no cover - k out of range
-            raise ValueError("rank beyond the data")
+    out: dict[int, float] = {}
+    # Open rank k -> (a, b, below): k lies among the values in [a, b]; `below` values lie under a.
+    open_ranks = {k: (lo, hi, 0) for k in sorted(set(ks))}
+    while open_ranks:
+        for k, (a, b, _) in list(open_ranks.items()):
+            if a == b:
+                out[k] = a
+                del open_ranks[k]
+        if not open_ranks:
+            break
+        bounds = sorted({(a, b) for a, b, _ in open_ranks.values()})
+        iv = _interval_id(bounds)
+        x = F.col("x")
+        lo_of = F.element_at(F.array(*[F.lit(a) for a, _ in bounds]), iv + 1)
+        width_of = F.element_at(F.array(*[F.lit(b - a) for a, b in bounds]), iv + 1)
+        b_col = F.least(F.floor((x - lo_of) / width_of * F.lit(SELECT_BINS)), F.lit(SELECT_BINS - 1)).cast("int")
+        rows = (values.select(iv.alias("iv"), x).where(F.col("iv").isNotNull())
+                      .groupBy("iv", b_col.alias("b"))
+                      .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
+                      .collect())
+        bins: dict[int, list] = {}
+        for row in sorted(rows, key=lambda r: (r["iv"], r["b"])):
+            bins.setdefault(row["iv"], []).append(row)
+        finals: dict[int, tuple[float, float, int]] = {}
+        nxt = {}
+        for k, (a, b, below) in open_ranks.items():
+            r = k - below
+            for row in bins[bounds.index((a, b))]:
+                if r < row["n"]:
+                    if row["mn"] == row["mx"]:
+                        out[k] = row["mn"]
+                    elif row["n"] <= SELECT_COLLECT_LIMIT:
+                        finals[k] = (row["mn"], row["mx"], r)
+                    else:
+                        nxt[k] = (row["mn"], row["mx"], k - r)
+                    break
+                r -= row["n"]
+            else:  # pragma: no cover - k out of range
+                raise ValueError("rank beyond the data")
+        if finals:
+            out.update(_rank_in_bins(values, finals))
+        open_ranks = nxt
+    return out
+
+
+def _rank_in_bins(values: DataFrame, finals: dict[int, tuple[float, float, int]]) -> dict[int, float]:
+    """Rank k -> the r-th smallest value inside its small bin [mn, mx]; one job for all ranks."""
+    bounds = sorted({(mn, mx) for mn, mx, _ in finals.values()})
+    rn = F.row_number().over(Window.partitionBy("iv").orderBy("x")) - 1
+    ranked = values.select(_interval_id(bounds).alias("iv"), "x").where(F.col("iv").isNotNull()) \
+                   .withColumn("rn", rn)
+    want = None
+    for mn, mx, r in finals.values():
+        cond = (F.col("iv") == F.lit(bounds.index((mn, mx)))) & (F.col("rn") == F.lit(r))
+        want = cond if want is None else want | cond
+    got = {(row["iv"], row["rn"]): row["x"] for row in ranked.where(want).collect()}
+    return {k: got[(bounds.index((mn, mx)), r)] for k, (mn, mx, r) in finals.items()}
 
 
 def quantiles(df: DataFrame, c: str, probs: list[float], limit: int = EXACT_PERCENTILE_LIMIT) -> list[float | None]:
     """Exact linear-interpolation quantiles (pandas / `percentile` semantics).
 
     Small inputs use the built-in `percentile` in one aggregate. Larger ones
-    find the needed order statistics by distributed selection, so no task ever
-    holds more than `SELECT_COLLECT_LIMIT` values.
+    find all needed order statistics together by distributed selection, so no
+    task ever holds more than `SELECT_COLLECT_LIMIT` values.
     """
     values = df.select(clean(df, c).alias("x")).where(F.col("x").isNotNull())
     st = values.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
@@ -90,17 +137,13 @@ def quantiles(df: DataFrame, c: str, probs: list[float], limit: int = EXACT_PERC
     if n <= limit:
         got = values.agg(F.percentile("x", F.array(*[F.lit(float(p)) for p in probs])).alias("q")).first()["q"]
         return list(got)
-    out = []
-    cache: dict[int, float] = {}
+    plan = []
     for p in probs:
         pos = p * (n - 1)
         i = int(pos // 1)
-        frac = pos - i
-        for k in (i, min(i + 1, n - 1)):
-            if k not in cache:
-                cache[k] = _kth_value(values, k, st["lo"], st["hi"])
-        out.append(cache[i] if frac == 0 else _interpolate(cache[i], cache[min(i + 1, n - 1)], frac))
-    return out
+        plan.append((i, min(i + 1, n - 1), pos - i))
+    got = _kth_values(values, [k for i, j, _ in plan for k in (i, j)], st["lo"], st["hi"])
+    return [got[i] if frac == 0 else _interpolate(got[i], got[j], frac) for i, j, frac in plan]
 
 
 # ----------------------------------------------------------------- describe
@@ -213,7 +256,7 @@ def order_statistic(df: DataFrame, c: str, k: int, n: int | None = None, limit:
         p = (k + 0.5) / n
         return values.select(F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY x)").alias("q")).first()["q"]
     st = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    return _kth_value(values, k, st["lo"], st["hi"])
+    return _kth_values(values, [k], st["lo"], st["hi"])[k]
 
 
 def order_statistics(df: DataFrame, c: str, ks: list[int], n: int | None = None,
@@ -229,4 +272,6 @@ def order_statistics(df: DataFrame, c: str, ks: list[int], n: int | None = None,
                  for i, k in enumerate(ks)]
         row = values.agg(*exprs).first()
         return [row[f"q{i}"] for i in range(len(ks))]
-    return [order_statistic(df, c, k, n, limit) for k in ks]
+    st = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    got = _kth_values(values, list(ks), st["lo"], st["hi"])
+    return [got[k] for k in ks]
