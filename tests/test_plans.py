@@ -42,3 +42,33 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     rows = df.collect()
     assert len(rows) == 1 and rows[0]["total_checks"] == 5 * rows[0]["total_records"]
+
+
+def test_spread_only_narrow_inputs(spark):
+    from vigil.operators.detect import spread
+    narrow = spark.range(0, 1000, numPartitions=1)
+    assert spread(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism + 3)
+    assert "Exchange" not in _plan(spread(wide, "id"))
+
+
+def test_grow_partitions_not_coalesced(spark):
+    from pyspark.sql import functions as F
+    from vigil.operators import iforest as IF
+    training = spark.range(0, 640).select((F.col("id") % 10).cast("int").alias("tree"), F.col("id").alias("_id"),
+                                          (F.col("id") * 0.5).alias("x"))
+    nodes = IF.grow(training, ["x"], 64, 42, trees=10)
+    plan = _plan(nodes)
+    want = min(10, spark.sparkContext.defaultParallelism)
+    assert f"hashpartitioning(tree#" in plan and f", {want}), REPARTITION_BY_NUM" in plan
+    assert plan.count("Exchange") == 1                  # the grouping reuses the explicit partitioning
+    assert nodes.select("tree").distinct().count() == 10
+
+
+def test_cut_reads_one_column_of_scored_table(spark):
+    from pyspark.sql import functions as F
+    from vigil.operators import detect as DT
+    from vigil.sources.views import view
+    d = DT.detect(view(spark, SF, "tx_events"), ["amount", "v1"])
+    plan = _plan(d.scored.where(F.col("path_units").isNotNull()).select("path_units"))
+    assert "FileScan parquet" in plan and "ReadSchema: struct<path_units:bigint>" in plan

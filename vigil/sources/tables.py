@@ -80,14 +80,30 @@ def report_array(df: DataFrame, order_by: list[str]) -> DataFrame:
                                            lambda e: e["_r"]), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def write_report(df: DataFrame, path: str, order_by: list[str]) -> None:
-    """Write a report-sized frame as a single JSON array document."""
-    report_array(df, order_by).coalesce(1).write.mode("overwrite").text(path)
+# Largest report gathered into one JSON array document (one value in one task).
+REPORT_ARRAY_LIMIT = 100_000
 
 
-def read_json_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read back a JSON array report (or JSON lines) with a fixed schema."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def write_report(df: DataFrame, path: str, order_by: list[str], max_records: int = REPORT_ARRAY_LIMIT) -> str:
+    """Write a report as one JSON array document; returns the form written.
+
+    The row count is checked first: up to `max_records` rows the records
+    are gathered into one array ("array"); above it the same records are
+    written as ordered JSON lines over many files ("lines"), so no task ever
+    gathers an unbounded report and no row is dropped.
+    """
+    if df.count() <= max_records:
+        report_array(df, order_by).coalesce(1).write.mode("overwrite").text(path)
+        return "array"
+    keep = [c for c in df.columns if not c.startswith("_")]
+    write_json_lines(df.orderBy(*order_by).select(*keep), path)
+    return "lines"
+
+
+def read_json_report(spark: SparkSession, path: str, schema: T.StructType, form: str = "array") -> DataFrame:
+    """Read back a report written by `write_report` with a fixed schema."""
+    r = spark.read.schema(schema)
+    return (r.option("multiLine", True) if form == "array" else r).json(path)
 
 
 def publish(df: DataFrame, path: str, jdbc_url: str | None = None, jdbc_table: str | None = None,
