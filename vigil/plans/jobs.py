@@ -24,7 +24,7 @@ from vigil.operators import iforest as IF
 from vigil.operators import quality as Q
 from vigil.operators import reports as RP
 from vigil.operators import rules as R
-from vigil.session import checkpoint_root
+from vigil.session import scratch_dir
 from vigil.sources import csv as CSV
 from vigil.sources import tables as TB
 from vigil.sources.ids import with_dense_id
@@ -47,13 +47,15 @@ def validate(spark: SparkSession, source: DataFrame, root: str, rules=R.DEFAULT_
     """Checks on source types, then narrowing for storage; returns the per-rule summary.
 
     Ids are dense in scan order. The frame with ids and rule results is
-    checkpointed once, so the raw table and the result table come from the
-    same rows without parsing the source twice.
+    written once as a Parquet table under the shared checkpoint folder, so
+    the raw table and the result table come from the same rows and ids (even
+    if files land in the source folder meanwhile) without parsing the source
+    twice, and each of the two writes reads back only the columns it needs.
     """
     p = paths(root)
-    checkpoint_root(spark)
-    with_ids = with_dense_id(source)
-    wide = R.evaluate_wide(with_ids, rules).checkpoint(eager=True)
+    staged = scratch_dir(spark, "validated")
+    R.evaluate_wide(with_dense_id(source), rules).write.parquet(staged)
+    wide = spark.read.parquet(staged)
     raw = CSV.to_raw_table(wide, n_features)
     TB.write_table(raw, p["raw_transactions"], mode="overwrite", max_records_per_file=RAW_BATCH)
     results = R.results_table(wide.select("transaction_id", *[r.name for r in rules]),
