@@ -66,3 +66,13 @@ def test_batched_selection_many_rounds(spark, monkeypatch):
     assert PR.order_statistics(df, "x", ks, limit=0) == [vals[k] for k in ks]
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
     assert PR.quantiles(df, "x", probs, limit=0) == PR.quantiles(df, "x", probs)
+
+
+def test_describe_selection_path_matches(spark, monkeypatch):
+    li = table(spark, SF, "lineitem")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    exact = PR.describe(li, cols).orderBy("column_name").collect()
+    monkeypatch.setattr(PR, "SELECT_BINS", 16)
+    monkeypatch.setattr(PR, "SELECT_COLLECT_LIMIT", 500)
+    selected = PR.describe(li, cols, limit=0).orderBy("column_name").collect()
+    assert exact == selected
