@@ -63,6 +63,10 @@ def cut_for(scored: DataFrame, forest: IF.Forest, rates: list[float], n: int | N
     return out, n
 
 
+def _narrow(df: DataFrame) -> bool:
+    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-spread an under-partitioned input over the cluster's cores.
 
@@ -71,10 +75,25 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     least `defaultParallelism` partitions (any large table) pass unchanged,
     so at scale this adds no shuffle.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    if not _narrow(df):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
+def stage_narrow(df: DataFrame, key: str) -> DataFrame:
+    """An under-partitioned input, spread once and written under the checkpoint folder.
+
+    The detector reads its input three times (statistics, sample, score).
+    On a one-partition input each pass would be one task that also repeats
+    the input's projections; the staged copy is read by all cores instead.
+    Inputs with enough partitions pass unchanged (no copy at scale).
+    """
+    if not _narrow(df):
         return df
-    return df.repartition(want, key)
+    spark = df.sparkSession
+    path = scratch_dir(spark, "input")
+    spread(df, key).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def detect(df: DataFrame, features: list[str], id_col: str = "transaction_id",
@@ -85,6 +104,8 @@ def detect(df: DataFrame, features: list[str], id_col: str = "transaction_id",
     Rows with a missing feature get NULL scores and are never flagged.
     """
     zcols = [f"z_{c}" for c in features]
+    if checkpoint:
+        df = stage_narrow(df, id_col)
     complete = IF.complete_rows(df, features)
     # One aggregate sizes the sample and, when scaling, fits the scaler.
     aggs = IF.sample_stats_aggs() + (scaler_aggs(complete, features) if scale else [])
