@@ -531,10 +531,6 @@ def a19_flagged_share(spark, sf_dir):
 from vigil.functions.buckets import sql_bucketize  # noqa: E402
 
 
-def _tx(spark, sf_dir, name):
-    return view(spark, sf_dir, name)
-
-
 @det_register("a8_fraud_breakdown", "tx_events", """
     SELECT rt.class AS is_fraud, CASE WHEN a.id IS NOT NULL THEN 'Flagged' ELSE 'Not Flagged' END AS status,
            CAST(count(*) AS BIGINT) AS cnt
@@ -551,7 +547,7 @@ def a8_fraud_breakdown(spark, sf_dir):
     GROUP BY amount_range ORDER BY min(rt.amount) NULLS FIRST""")
 def a9_amount_distribution(spark, sf_dir):
     d = _detect(spark, sf_dir, "tx_acct")
-    return RP.amount_distribution(_tx(spark, sf_dir, "tx_acct"), DT.anomalies(d))
+    return RP.amount_distribution(d.source, DT.anomalies(d))
 
 
 @det_register("w6_order_by_aggregate", "tx_events", f"""
@@ -561,7 +557,7 @@ def a9_amount_distribution(spark, sf_dir):
     GROUP BY amount_range ORDER BY min(rt.amount) NULLS FIRST""")
 def w6_order_by_aggregate(spark, sf_dir):
     d = _detect(spark, sf_dir, "tx_events")
-    return RP.amount_distribution(_tx(spark, sf_dir, "tx_events"), DT.anomalies(d))
+    return RP.amount_distribution(d.source, DT.anomalies(d))
 
 
 @det_register("a11_anomalies_by_region", "tx_orders", """
@@ -577,7 +573,7 @@ def a11_anomalies_by_region(spark, sf_dir):
     ORDER BY a.anomaly_score ASC NULLS FIRST, a.transaction_id LIMIT 200""")
 def j2_top_anomalies(spark, sf_dir):
     d = _detect(spark, sf_dir, "tx_events")
-    return RP.top_anomalies(DT.anomalies(d), _tx(spark, sf_dir, "tx_events"), 200)
+    return RP.top_anomalies(DT.anomalies(d), d.source, 200)
 
 
 @det_register("j3_transactions_left_anomalies", "tx_events", """
@@ -585,7 +581,7 @@ def j2_top_anomalies(spark, sf_dir):
     FROM tx_events rt LEFT JOIN an a ON rt.transaction_id = a.transaction_id""")
 def j3_transactions_left_anomalies(spark, sf_dir):
     d = _detect(spark, sf_dir, "tx_events")
-    tx = _tx(spark, sf_dir, "tx_events").select("transaction_id", "amount", "class")
+    tx = d.source.select("transaction_id", "amount", "class")
     return tx.join(DT.anomalies(d).select("transaction_id", "anomaly_score"), "transaction_id", "left")
 
 
@@ -594,7 +590,7 @@ def j3_transactions_left_anomalies(spark, sf_dir):
     FROM an a JOIN tx_events rt ON a.transaction_id = rt.transaction_id WHERE rt.class = 1""")
 def j4_frauds_detected(spark, sf_dir):
     d = _detect(spark, sf_dir, "tx_events")
-    return RP.frauds_detected(_tx(spark, sf_dir, "tx_events"), DT.anomalies(d))
+    return RP.frauds_detected(d.source, DT.anomalies(d))
 
 
 @register("j5_orphan_lineitems", """
@@ -633,7 +629,7 @@ def w1_top15_one_feature(spark, sf_dir):
     ORDER BY a.anomaly_score ASC NULLS FIRST, a.transaction_id LIMIT 10""")
 def f4_console_top10(spark, sf_dir):
     d = _detect(spark, sf_dir, "tx_events")
-    return RP.console_top(DT.anomalies(d), _tx(spark, sf_dir, "tx_events"), 10)
+    return RP.console_top(DT.anomalies(d), d.source, 10)
 
 
 def _DAY_SPARK():
@@ -693,7 +689,7 @@ def _overview_sql() -> str:
 @register("a7_overview", _overview_sql(), raw=True)
 def a7_overview(spark, sf_dir):
     d = _detect(spark, sf_dir, "tx_events")
-    latest = RP.latest_score(RP.history_by_day(view(spark, sf_dir, "tx_events"), _EV_DAY_SPARK()))
+    latest = RP.latest_score(RP.history_by_day(d.source, _EV_DAY_SPARK()))
     return RP.overview_scored(d.scored, latest)
 
 
@@ -730,7 +726,7 @@ def p8_renaming_projection(spark, sf_dir):
     FROM tx_events rt LEFT JOIN an a ON rt.transaction_id = a.transaction_id""")
 def p9_flag_status(spark, sf_dir):
     d = _detect(spark, sf_dir, "tx_events")
-    return RP.flag_status(_tx(spark, sf_dir, "tx_events"), DT.anomalies(d))
+    return RP.flag_status(d.source, DT.anomalies(d))
 
 
 @register("p10_amount_bucket", f"SELECT transaction_id, {sql_bucketize('amount')} AS amount_range FROM tx_acct")

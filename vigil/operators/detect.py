@@ -32,6 +32,7 @@ class Detection:
     n: int
     contamination: float
     method: str
+    source: DataFrame        # the input rows as read (the staged copy when the input was narrow)
 
 
 def _raw_from_units(units: int, forest: IF.Forest) -> float:
@@ -126,7 +127,7 @@ def detect(df: DataFrame, features: list[str], id_col: str = "transaction_id",
     (t_units, cut_raw), n = (lambda r: (r[0][0], r[1]))(cut_for(scored, forest, [params.contamination]))
     scored = scored.withColumn("decision", F.col("raw_score") - F.lit(cut_raw).cast("double")) \
                    .withColumn("flagged", F.coalesce(F.col("path_units") < F.lit(t_units), F.lit(False)))
-    return Detection(scored, forest, t_units, cut_raw, n, params.contamination, method)
+    return Detection(scored, forest, t_units, cut_raw, n, params.contamination, method, df)
 
 
 def anomalies(det: Detection, id_col: str = "transaction_id", method_index: int = 0, digits: int = 6) -> DataFrame:
