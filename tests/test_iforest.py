@@ -89,3 +89,15 @@ def test_sweep_monotone(spark):
     d = DT.detect(view(spark, SF, "tx_events"), ["amount"], scale=False)
     s = [r["anomalies_found"] for r in DT.sweep(d).orderBy("contamination").collect()]
     assert s == sorted(s) and s[0] > 0
+
+
+def test_known_count_matches_counted(spark):
+    # The cut's row count is taken from the statistics pass; it must equal the scored rows.
+    from vigil.operators import detect as DT
+    from vigil.sources.views import view
+    df = view(spark, SF, "tx_events")
+    d = DT.detect(df, ["amount", "v1"])
+    assert d.n == d.scored.where("path_units IS NOT NULL").count()
+    inf = spark.createDataFrame([(1, 1.0), (2, float("inf")), (3, 2.0), (4, 3.0)], "transaction_id long, amount double")
+    d2 = DT.detect(inf, ["amount"], params=IF.ForestParams(trees=3, sample_size=4))
+    assert d2.n == d2.scored.where("path_units IS NOT NULL").count()

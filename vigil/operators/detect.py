@@ -10,6 +10,7 @@ columnar copy lets the cut read one column instead of whole rows.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -111,10 +112,16 @@ def detect(df: DataFrame, features: list[str], id_col: str = "transaction_id",
     # One aggregate sizes the sample and, when scaling, fits the scaler.
     aggs = IF.sample_stats_aggs() + (scaler_aggs(complete, features) if scale else [])
     stats = IF.with_draw(complete, params, id_col).agg(*aggs).first()
+    # Rows with a score = complete rows, unless scaling can turn a complete row's
+    # value into NaN. With finite means and deviations it cannot: every value is
+    # then finite, and (x - m) / s is finite or +-inf. Then the cut needs no count.
+    n_scored = stats["_n"]
     if scale:
         sp = fit_scaler(complete, features, stats)
         prepared = apply_scaler(df.select("*", *[F.col(c).alias(z) for c, z in zip(features, zcols)]),
                                 {z: sp[c] for c, z in zip(features, zcols)})
+        if not all(math.isfinite(v) for c in features for v in sp[c]):
+            n_scored = None
     else:
         prepared = df.select("*", *[F.col(c).cast("double").alias(z) for c, z in zip(features, zcols)])
     forest = IF.fit(prepared, id_col, zcols, params, stats)
@@ -124,7 +131,7 @@ def detect(df: DataFrame, features: list[str], id_col: str = "transaction_id",
         path = scratch_dir(spark, "scored")
         scored.write.parquet(path)
         scored = spark.read.parquet(path)
-    (t_units, cut_raw), n = (lambda r: (r[0][0], r[1]))(cut_for(scored, forest, [params.contamination]))
+    (t_units, cut_raw), n = (lambda r: (r[0][0], r[1]))(cut_for(scored, forest, [params.contamination], n_scored))
     scored = scored.withColumn("decision", F.col("raw_score") - F.lit(cut_raw).cast("double")) \
                    .withColumn("flagged", F.coalesce(F.col("path_units") < F.lit(t_units), F.lit(False)))
     return Detection(scored, forest, t_units, cut_raw, n, params.contamination, method, df)
