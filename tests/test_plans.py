@@ -72,3 +72,14 @@ def test_cut_reads_one_column_of_scored_table(spark):
     d = DT.detect(view(spark, SF, "tx_events"), ["amount", "v1"])
     plan = _plan(d.scored.where(F.col("path_units").isNotNull()).select("path_units"))
     assert "FileScan parquet" in plan and "ReadSchema: struct<path_units:bigint>" in plan
+
+
+def test_stage_narrow_only_copies_narrow_inputs(spark):
+    from vigil.operators.detect import stage_narrow
+    cores = spark.sparkContext.defaultParallelism
+    narrow = spark.range(0, 2000, numPartitions=1).withColumnRenamed("id", "transaction_id")
+    staged = stage_narrow(narrow, "transaction_id")
+    assert "FileScan parquet" in _plan(staged) and staged.rdd.getNumPartitions() > 1
+    assert sorted(r[0] for r in staged.collect()) == list(range(2000))
+    wide = spark.range(0, 2000, numPartitions=cores + 1)
+    assert stage_narrow(wide, "id") is wide
