@@ -240,12 +240,12 @@ def decode(df: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id",
     return flat.mapInArrow(run, "doc_id long, decoded string")
 
 
-def digests(df: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """Token counts and checksums of the ids and the decoded text of every document."""
+def digests(df: DataFrame, tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
+    """Token counts and checksums of the ids and the decoded text of every document, with the ids if asked for."""
     coded = encode(df, tokenizer, decoded=True)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), *["ids"] * with_ids)
 
 
 def op1_bpe(spark, sf_dir: str) -> DataFrame:

@@ -6,7 +6,6 @@ exactly how `bytes.split()` cuts UTF-8 text, so texts are handled as bytes.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -117,8 +116,3 @@ def connect(postings: DataFrame, attrs: list[str], near: Callable, verify: Calla
     if not crossing.limit(1).count():
         return found
     return components(links.unionByName(verify(crossing)))
-
-
-def pickled(fn: Callable) -> Callable:
-    """Cache the result of an argument-less loader within one Python worker."""
-    return functools.lru_cache(maxsize=1)(fn)
