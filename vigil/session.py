@@ -2,8 +2,8 @@
 
 `get_spark` is for tests, benches and command-line use; library code never
 creates a session. `scratch_dir` returns the shared folder named by
-``spark.checkpoint.dir`` and only invents a local one when the setting is
-absent (local test runs).
+``spark.checkpoint.dir``; only a local session without that setting gets a
+folder of its own.
 """
 
 from __future__ import annotations
@@ -37,11 +37,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8) -> SparkSe
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a fresh local one only if unset."""
+    """The cluster's shared checkpoint folder. In local mode one is made if it is unset; on a cluster that is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="vigil-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
