@@ -85,34 +85,55 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def connect(postings: DataFrame, attrs: list[str], near: Callable, verify: Callable[[DataFrame], DataFrame],
-            more_links: DataFrame | None = None) -> DataFrame:
+CENTRES = 3  # nodes of a key that a round holds the others against
+
+
+def connect(postings: DataFrame, attrs: list[str], near: Callable, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Components of the nodes that share a key and pass `verify`, without all pairs of a key.
 
-    `postings` has key, node and `attrs`. First every node of a key is held
-    against the key's smallest one only, so a key of k nodes gives k pairs.
-    Then only nodes of one key that lie in different components so far are
-    paired, which finds every link that could still join two components.
-    `near(left, right)` is a cheap condition on prefixed columns (a_, b_);
-    `verify` takes distinct pairs (a, b) and returns the true links.
-    Returns (node, component) of all nodes that have a link.
+    `postings` has key, node and `attrs`. A round holds the nodes of every key
+    against a few of them (those with the lowest hashes of the round), skipping
+    pairs within one component, and joins components along the verified links.
+    So a group of k similar nodes grows together from a few times k pairs.
+    Rounds go on while they find many links and the pairs that are left, those
+    of one key in different components, outnumber the postings; then all that
+    are left are verified, so no link that would join two components is missed.
+    `near()` is a cheap condition on prefixed columns (a_, b_); `verify` takes
+    distinct pairs (a, b) and returns the true links. Returns (node, component)
+    of all nodes that have a link.
     """
     postings = stage(postings, "postings")
-    cols = ["node", *attrs]
-    side = lambda df, p: df.select("key", *[F.col(c).alias(f"{p}_{c}") for c in df.columns if c != "key"])
-    first = postings.groupBy("key").agg(F.min(F.struct(*attrs, "node")).alias("s"), F.max("node").alias("hi"), F.min("node").alias("lo"))
-    first = first.where("hi <> lo").select("key", *[F.col(f"s.{c}").alias(f"a_{c}") for c in cols])
+    side = lambda df, p: df.select("key", *[F.col(c).alias(f"{p}_{c}") for c in ("component", "node", *attrs)])
     pair = [F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")]
-    stars = side(postings, "b").join(first, "key").where("a_node <> b_node").where(near()).select(*pair).distinct()
-    stars = stage(stars, "pairs")
-    links = verify(stars)
-    links = stage(links if more_links is None else links.unionByName(more_links), "links")
-    found = components(links)
-    placed = postings.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    rest = stage(placed.join(open_keys, "key", "left_semi"), "open")
-    crossing = side(rest, "a").join(side(rest, "b"), "key").where("a_component < b_component").where(near())
-    crossing = stage(crossing.select(*pair).distinct().join(stars, ["a", "b"], "left_anti"), "pairs")
-    if not crossing.limit(1).count():
-        return found
-    return components(links.unionByName(verify(crossing)))
+    found, links, tested, merged = None, None, None, 1
+    for turn in range(1 << 30):
+        placed = postings if found is None else postings.join(found, "node", "left")
+        placed = placed.withColumn("component", F.coalesce("component", "node") if found is not None else F.col("node"))
+        sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
+        sizes = sizes.groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2 / F.sum("n")).alias("share")).where("share > 0")
+        placed = stage(placed.join(sizes, "key"), "open")
+        postings = placed.select("key", "node", *attrs)
+        # `share` divides a key's pairs among its postings, so it sums to the pairs of all keys.
+        rows, pairs_left = placed.agg(F.count(F.lit(1)), F.sum("share")).first()
+        if not rows:
+            break
+        last = pairs_left <= 2 * rows or (turn > 0 and 50 * merged < rows)
+        if last:
+            met = side(placed, "a").join(side(placed, "b"), "key").where("a_component < b_component")
+        else:
+            centres = placed.groupBy("key").agg(*[F.min(F.struct(F.xxhash64("node", F.lit(turn * CENTRES + i)).alias("h"), "component", "node", *attrs)).alias(f"c{i}") for i in range(CENTRES)])
+            centres = centres.select("key", F.explode(F.array_distinct(F.array(*[F.col(f"c{i}").dropFields("h") for i in range(CENTRES)]))).alias("c"))
+            met = side(centres.select("key", "c.*"), "a").join(side(placed, "b"), "key").where("a_component <> b_component")
+        met = met.where(near()).select(*pair).distinct()
+        met = stage(met if tested is None else met.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = met if tested is None else tested.unionByName(met)
+        new = stage(verify(met), "links")
+        merged = new.count()
+        links = new if links is None else links.unionByName(new)
+        if merged:
+            found = components(links)
+        if last:
+            break
+    if found is None:
+        return postings.select("node", F.col("node").alias("component")).limit(0)
+    return found
