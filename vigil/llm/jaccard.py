@@ -156,7 +156,7 @@ def _ask(slices: int):
                 for kind, keys, values in ((TOKEN, b.tokens, b.groups[b.owner]), (GROUP, b.groups[full], b.sets[full]), (SET, b.sets[full], _order(b.ids)[full])):
                     if len(keys):
                         distinct, low, high, _ = _extremes(keys, values)
-                        yield requests(row["batch"], kind, distinct, low, high ^ low if kind == SET else high, slices)
+                        yield requests(row["batch"], kind, distinct, low, high, slices)
     return run
 
 
@@ -233,7 +233,6 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", slices:
     shared = spark.sparkContext.broadcast(sketch(docs))
     recipe = stage(docs.mapInArrow(_recipes(shared), RECIPE), "recipe")
     asked = recipe.mapInArrow(_ask(slices or shuffle_partitions(spark)), REQUEST)
-    # A set's ids travel as their smallest and a difference; only the smallest is read.
     answered = totals(asked, (np.minimum, np.uint64), (np.maximum, np.uint64))
     found = stage(recipe.groupBy("batch").cogroup(answered.groupBy("batch")).applyInPandas(_emit, FOUND), "found")
     listed = found.where("token IS NULL").select("doc_id", "node", F.col("size").cast("long").alias("n_shingles"))

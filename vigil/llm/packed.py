@@ -5,7 +5,8 @@ key space is cut into `slices` equal ranges; every batch sends each slice one
 binary row. A slice merges what it got and answers every batch with the totals
 of that batch's keys, in the batch's order. A key is sent at most once by a
 batch, so a key that fills a third of the input is as cheap as any other, and
-the rows are few and large.
+the rows are few and large. The second value travels as its difference from the first:
+where both are a key's lowest and highest of something, that is mostly 0.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def requests(batch: int, kind: int, keys: np.ndarray, first: np.ndarray, second:
     return pa.RecordBatch.from_arrays(
         [pa.array([r[0] for r in rows], pa.int32()), pa.array([kind] * len(rows), pa.int32()), pa.array([batch] * len(rows), pa.int64()),
          pa.array([keys[a:b].tobytes() for _, a, b in rows], pa.binary()),
-         pa.array([shrink(first[a:b]) for _, a, b in rows], pa.binary()), pa.array([shrink(second[a:b]) for _, a, b in rows], pa.binary())],
+         pa.array([shrink(first[a:b]) for _, a, b in rows], pa.binary()), pa.array([shrink(second[a:b] - first[a:b]) for _, a, b in rows], pa.binary())],
         names=["slice", "kind", "batch", "keys", "first", "second"])
 
 
@@ -60,12 +61,12 @@ def totals(asked: DataFrame, first: tuple[np.ufunc, type], second: tuple[np.ufun
         starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
         slot = np.empty(len(keys), np.int64)
         slot[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(keys))))
-        out = {}
-        for name, (how, width) in (("first", first), ("second", second)):
-            values = np.concatenate([widen(x, width) for x in group[name]])
-            out[name] = how.reduceat(values[order], starts).astype(width)
+        one = np.concatenate([widen(x, first[1]) for x in group["first"]])
+        two = np.concatenate([widen(x, second[1]) for x in group["second"]]) + one
+        out = {name: how.reduceat(values[order], starts).astype(width) for name, values, (how, width) in (("first", one, first), ("second", two, second))}
         ends = np.cumsum([len(p) for p in parts]).tolist()
-        rows = [(b, kind, place, *(shrink(out[n][slot[s:e]]) for n in ("first", "second")))
+        away = out["second"] - out["first"]
+        rows = [(b, kind, place, shrink(out["first"][slot[s:e]]), shrink(away[slot[s:e]]))
                 for b, s, e in zip(group["batch"].tolist(), [0, *ends], ends)]
         if summary is not None:
             rows.append((-1, kind, place, np.int64(summary(out["first"], out["second"])).tobytes(), b""))
@@ -76,7 +77,8 @@ def totals(asked: DataFrame, first: tuple[np.ufunc, type], second: tuple[np.ufun
 def answers(frame: pd.DataFrame, kind: int, types: tuple[type, type]) -> tuple[np.ndarray, np.ndarray]:
     """The totals of one batch's keys of a kind, in key order."""
     frame = frame[frame["kind"] == kind].sort_values("slice")
-    return tuple(np.concatenate([np.empty(0, t), *(widen(x, t) for x in frame[c])]) for c, t in zip(("first", "second"), types))
+    first, away = (np.concatenate([np.empty(0, t), *(widen(x, t) for x in frame[c])]) for c, t in zip(("first", "second"), types))
+    return first, away + first
 
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)  # fixed multipliers of a well-known 64-bit finaliser
