@@ -157,7 +157,7 @@ def identify(records: DataFrame, langs: list[str], logs: np.ndarray) -> DataFram
     total = F.aggregate("log", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
     named = F.array(*[F.lit(x) for x in langs])
     return rows.select("key", "id", F.element_at(named, F.array_position("log", F.col("top")).cast("int")).alias("lang"), (F.lit(1.0) / total).alias("posterior"),
-                       F.element_at(named, F.col("best") + 1).alias("text_lang"), "declared", "host")
+                       F.when(F.col("best").isNotNull(), F.element_at(named, F.col("best") + 1)).alias("text_lang"), "declared", "host")
 
 
 def _said(i: int, declared: dict[str, list[float]], langs: list[str]) -> Column:

@@ -23,9 +23,9 @@ from vigil.llm.common import as_bytes, map_batches, narrow
 
 #: (bytes below, lowest ratio, highest ratio) of whole documents. Short texts
 #: cannot be rejected as incompressible: the frame alone outweighs them.
-BANDS = ((256, 0.35, float("inf")), (1 << 10, 0.28, 0.95), (4 << 10, 0.22, 0.85),
-         (16 << 10, 0.20, 0.78), (64 << 10, 0.18, 0.75), (float("inf"), 0.15, 0.75))
-CHUNK, CHUNK_LIMITS, CHUNK_SHARE = 4096, (0.18, 0.80), 0.3
+BANDS = ((256, 0.35, float("inf")), (1 << 10, 0.28, 0.95), (4 << 10, 0.22, 0.82),
+         (16 << 10, 0.20, 0.72), (64 << 10, 0.18, 0.68), (float("inf"), 0.15, 0.68))
+CHUNK, CHUNK_LIMITS, CHUNK_SHARE = 4096, (0.18, 0.72), 0.3
 LEVEL = 3
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 
