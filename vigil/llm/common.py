@@ -85,7 +85,7 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-CENTRES = 3  # nodes of a key that a round holds the others against
+CENTRES = 8  # nodes of a key that a round holds the others against
 
 
 def connect(postings: DataFrame, attrs: list[str], near: Callable, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -105,7 +105,7 @@ def connect(postings: DataFrame, attrs: list[str], near: Callable, verify: Calla
     postings = stage(postings, "postings")
     side = lambda df, p: df.select("key", *[F.col(c).alias(f"{p}_{c}") for c in ("component", "node", *attrs)])
     pair = [F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")]
-    found, links, tested, merged = None, None, None, 1
+    found, tested, merged = None, None, 1
     for turn in range(1 << 30):
         placed = postings if found is None else postings.join(found, "node", "left")
         placed = placed.withColumn("component", F.coalesce("component", "node") if found is not None else F.col("node"))
@@ -129,9 +129,8 @@ def connect(postings: DataFrame, attrs: list[str], near: Callable, verify: Calla
         tested = met if tested is None else tested.unionByName(met)
         new = stage(verify(met), "links")
         merged = new.count()
-        links = new if links is None else links.unionByName(new)
-        if merged:
-            found = components(links)
+        if merged:  # what is joined so far goes on as stars
+            found = components(new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
         if last:
             break
     if found is None:
