@@ -101,3 +101,14 @@ def test_known_count_matches_counted(spark):
     inf = spark.createDataFrame([(1, 1.0), (2, float("inf")), (3, 2.0), (4, 3.0)], "transaction_id long, amount double")
     d2 = DT.detect(inf, ["amount"], params=IF.ForestParams(trees=3, sample_size=4))
     assert d2.n == d2.scored.where("path_units IS NOT NULL").count()
+
+
+def test_one_infinite_value_does_not_silence_the_detector(spark):
+    import math
+    from vigil.operators import detect as DT
+    from vigil.operators import iforest as IF
+    rows = [(i, math.inf if i == 7 else float(i % 50), float(i % 13)) for i in range(400)]
+    df = spark.createDataFrame(rows, "transaction_id long, amount double, v1 double")
+    det = DT.detect(df, ["amount", "v1"], params=IF.ForestParams(trees=5, contamination=0.05))
+    assert det.scored.where("flagged").count() > 0
+    assert det.scored.where("path_units IS NULL").select("transaction_id").collect() == [(7,)]

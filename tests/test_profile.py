@@ -76,3 +76,12 @@ def test_describe_selection_path_matches(spark, monkeypatch):
     monkeypatch.setattr(PR, "SELECT_COLLECT_LIMIT", 500)
     selected = PR.describe(li, cols, limit=0).orderBy("column_name").collect()
     assert exact == selected
+
+
+def test_infinite_values_end_the_selection(spark):
+    import math
+    from vigil.operators import profile as P
+    rows = [(float(i),) for i in range(500)] + [(math.inf,), (math.inf,), (-math.inf,)]
+    df = spark.createDataFrame(rows, "v double")
+    got = P._kth_values(P._stacked(df, ["v"]), [(0, 0), (0, 1), (0, 250), (0, 500), (0, 501), (0, 502)], {0: (-math.inf, math.inf)})
+    assert got == {(0, 0): -math.inf, (0, 1): 0.0, (0, 250): 249.0, (0, 500): 499.0, (0, 501): math.inf, (0, 502): math.inf}

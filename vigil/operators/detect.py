@@ -103,12 +103,16 @@ def detect(df: DataFrame, features: list[str], id_col: str = "transaction_id",
            checkpoint: bool = True) -> Detection:
     """Fit on a hash sample, score every row, flag the `contamination` share.
 
-    Rows with a missing feature get NULL scores and are never flagged.
+    Rows with a missing or infinite feature get NULL scores and are never flagged.
     """
     zcols = [f"z_{c}" for c in features]
     if checkpoint:
         df = stage_narrow(df, id_col)
+    # An infinite feature has no place on a scale: it counts as missing.
+    finite = {c: F.when(F.abs(F.col(c).cast("double")) < F.lit(math.inf), F.col(c).cast("double")) for c in features}
     complete = IF.complete_rows(df, features)
+    for c in features:
+        complete = complete.where(finite[c].isNotNull())
     # One aggregate sizes the sample and, when scaling, fits the scaler.
     aggs = IF.sample_stats_aggs() + (scaler_aggs(complete, features) if scale else [])
     stats = IF.with_draw(complete, params, id_col).agg(*aggs).first()
@@ -118,12 +122,12 @@ def detect(df: DataFrame, features: list[str], id_col: str = "transaction_id",
     n_scored = stats["_n"]
     if scale:
         sp = fit_scaler(complete, features, stats)
-        prepared = apply_scaler(df.select("*", *[F.col(c).alias(z) for c, z in zip(features, zcols)]),
+        prepared = apply_scaler(df.select("*", *[finite[c].alias(z) for c, z in zip(features, zcols)]),
                                 {z: sp[c] for c, z in zip(features, zcols)})
         if not all(math.isfinite(v) for c in features for v in sp[c]):
             n_scored = None
     else:
-        prepared = df.select("*", *[F.col(c).cast("double").alias(z) for c, z in zip(features, zcols)])
+        prepared = df.select("*", *[finite[c].alias(z) for c, z in zip(features, zcols)])
     forest = IF.fit(prepared, id_col, zcols, params, stats)
     scored = IF.score(spread(prepared, id_col), forest).drop(*zcols)
     if checkpoint:

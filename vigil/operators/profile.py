@@ -8,6 +8,8 @@ used as literals; no statistic joins or crosses back onto the data.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -33,14 +35,15 @@ def clean(df: DataFrame, c: str) -> Column:
 
 def category_counts(df: DataFrame, c: str) -> DataFrame:
     """value_counts: non-null values with their count, most frequent first."""
-    return (df.where(F.col(c).isNotNull()).groupBy(c)
+    known = F.col(c).isNotNull() & ~F.isnan(c) if is_floating(df, c) else F.col(c).isNotNull()
+    return (df.where(known).groupBy(c)
               .agg(F.count(F.lit(1)).cast("long").alias("n"))
               .orderBy(F.desc("n"), F.asc(c)))
 
 
 # ---------------------------------------------------------------- quantiles
 def _interpolate(vlo: float, vhi: float, frac: float) -> float:
-    return vlo + (vhi - vlo) * frac
+    return vlo if vlo == vhi else vlo + (vhi - vlo) * frac  # equal infinite neighbours have no difference
 
 
 def _interval_id(bounds: list[tuple[int, float, float]]) -> Column:
@@ -75,6 +78,16 @@ def _kth_values(values: DataFrame, ranks: list[tuple[int, int]],
     out: dict[tuple[int, int], float] = {}
     # Open rank -> (a, b, below): it lies among the values in [a, b]; `below` values lie under a.
     open_ranks = {(g, k): (bounds[g][0], bounds[g][1], 0) for g, k in sorted(set(ranks))}
+    if any(math.isinf(v) for g, _ in open_ranks for v in bounds[g]):
+        # Infinite values are counted; bins are for the finite ones between them.
+        x, inf = F.col("x"), F.lit(math.inf)
+        finite = F.when(F.abs(x) < inf, x)
+        parts = {r["g"]: r for r in values.groupBy("g").agg(F.count_if(x == -inf).alias("low"), F.count(finite).alias("n"),
+                                                          F.min(finite).alias("mn"), F.max(finite).alias("mx")).collect()}
+        for g, k in list(open_ranks):
+            low, n = parts[g]["low"], parts[g]["n"]
+            open_ranks[(g, k)] = (-math.inf,) * 2 + (0,) if k < low else (math.inf,) * 2 + (0,) if k >= low + n else (parts[g]["mn"], parts[g]["mx"], low)
+        values = values.where(F.abs(x) < inf)
     while open_ranks:
         for key, (a, b, _) in list(open_ranks.items()):
             if a == b:
@@ -86,8 +99,8 @@ def _kth_values(values: DataFrame, ranks: list[tuple[int, int]],
         iv = _interval_id(ivs)
         x = F.col("x")
         lo_of = F.element_at(F.array(*[F.lit(a) for _, a, _ in ivs]), F.col("iv") + 1)
-        width_of = F.element_at(F.array(*[F.lit(b - a) for _, a, b in ivs]), F.col("iv") + 1)
-        b_col = F.least(F.floor((x - lo_of) / width_of * F.lit(SELECT_BINS)), F.lit(SELECT_BINS - 1)).cast("int")
+        width_of = F.element_at(F.array(*[F.lit(b / 2 - a / 2) for _, a, b in ivs]), F.col("iv") + 1)
+        b_col = F.least(F.floor((x / 2 - lo_of / 2) / width_of * F.lit(SELECT_BINS)), F.lit(SELECT_BINS - 1)).cast("int")
         rows = (values.select(iv.alias("iv"), x).where(F.col("iv").isNotNull())
                       .groupBy("iv", b_col.alias("b"))
                       .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))

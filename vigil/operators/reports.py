@@ -57,15 +57,15 @@ def fraud_breakdown_scored(scored: DataFrame, label_col: str = "class") -> DataF
 
 
 def amount_distribution(tx: DataFrame, anoms: DataFrame, amount_col: str = "amount",
-                        cuts=AMOUNT_CUTS, labels=AMOUNT_LABELS) -> DataFrame:
-    """Per amount range: total rows and flagged rows, ordered by the range's smallest amount."""
+                        cuts=AMOUNT_CUTS, labels=AMOUNT_LABELS, keep_min: bool = False) -> DataFrame:
+    """Per amount range: total rows and flagged rows, ordered by the range's smallest amount (kept as `_min` if asked)."""
     j = with_flag_status(tx, anoms)
     w = F.coalesce(F.col("_hits"), F.lit(1))
     return (j.groupBy(bucketize(amount_col, cuts, labels).alias("amount_range"))
              .agg(F.sum(w).cast("long").alias("total"),
                   F.sum(F.when(F.col("_hits").isNotNull(), F.col("_hits")).otherwise(0)).cast("long").alias("anomalies"),
                   F.min(amount_col).alias("_min"))
-             .orderBy(F.col("_min").asc_nulls_first()).drop("_min"))
+             .orderBy(F.col("_min").asc_nulls_first()).drop(*[] if keep_min else ["_min"]))
 
 
 def amount_buckets(df: DataFrame, amount_col: str = "amount") -> DataFrame:
@@ -141,7 +141,9 @@ def history_ordered(history: DataFrame) -> DataFrame:
 
 def latest_score(history: DataFrame) -> DataFrame:
     """Score of the latest record_date; NULL on an empty history."""
-    return history.agg(F.max_by("quality_score", "record_date").alias("quality_score"),
+    # Several scores of one day: the one over most rows, then most failures, then the highest.
+    order = F.struct("record_date", "total_rows", "failed_checks", "quality_score")
+    return history.agg(F.max_by("quality_score", order).alias("quality_score"),
                        F.max("record_date").alias("record_date"))
 
 

@@ -29,10 +29,8 @@ from vigil.sources import csv as CSV
 from vigil.sources import tables as TB
 from vigil.sources.ids import with_dense_id
 
-# Detector features and write batch sizes of the checking system.
+# Detector features and report sizes of the checking system.
 DETECT_FEATURES = ["amount", "v1", "v2", "v3", "v4", "v5", "v6", "v7", "v14", "v17"]
-RAW_BATCH = 10000
-ANOMALY_BATCH = 5000
 ERRORS_LIMIT = 500
 TOP_ANOMALIES = 200
 
@@ -57,11 +55,10 @@ def validate(spark: SparkSession, source: DataFrame, root: str, rules=R.DEFAULT_
     R.evaluate_wide(with_dense_id(source), rules).write.parquet(staged)
     wide = spark.read.parquet(staged)
     raw = CSV.to_raw_table(wide, n_features)
-    TB.write_table(raw, p["raw_transactions"], mode="overwrite", max_records_per_file=RAW_BATCH)
+    TB.write_table(raw, p["raw_transactions"], mode="overwrite")
     results = R.results_table(wide.select("transaction_id", *[r.name for r in rules]),
                               [R.Rule(r.name, lambda df, n=r.name: F.col(n)) for r in rules])
-    TB.write_table(results, p["validation_results"], mode="overwrite", schema=SCH.VALIDATION_RESULTS,
-                   max_records_per_file=RAW_BATCH)
+    TB.write_table(results, p["validation_results"], mode="overwrite", schema=SCH.VALIDATION_RESULTS)
     return Q.summary_long(TB.read_table(spark, p["validation_results"], ["rule_name", "rule_passed"]))
 
 
@@ -94,8 +91,7 @@ def detect(spark: SparkSession, root: str, features=DETECT_FEATURES,
     p = paths(root)
     raw = TB.read_table(spark, p["raw_transactions"], ["transaction_id", *features, "class"])
     det = DT.detect(raw, features, params=params)
-    TB.write_table(DT.anomalies(det), p["anomalies"], mode="overwrite", schema=SCH.ANOMALIES,
-                   max_records_per_file=ANOMALY_BATCH)
+    TB.write_table(DT.anomalies(det), p["anomalies"], mode="overwrite", schema=SCH.ANOMALIES)
     return DT.metrics(det)
 
 
@@ -118,9 +114,9 @@ def export(spark: SparkSession, root: str, out_dir: str) -> dict[str, str]:
         ["record_date"])
     summary = Q.summary_long(res)
     put("validation_summary", summary, ["rule_name"])
-    errors = (R.failures(res).join(tx.select("transaction_id", "amount"), "transaction_id", "left")
-              .orderBy("transaction_id", "rule_name").limit(ERRORS_LIMIT)
-              .select("transaction_id", "rule_name", "amount"))
+    # The first failures are picked before the join, which then reads that many rows of one side.
+    first = R.failures(res).orderBy("transaction_id", "rule_name").limit(ERRORS_LIMIT)
+    errors = first.join(tx.select("transaction_id", "amount"), "transaction_id", "left").select("transaction_id", "rule_name", "amount")
     put("validation_errors", errors, ["transaction_id", "rule_name"])
     put("anomalies", RP.top_anomalies(an, tx, TOP_ANOMALIES), ["anomaly_score", "transaction_id"])
     totals = Q.check_totals(summary).first()
@@ -134,8 +130,7 @@ def export(spark: SparkSession, root: str, out_dir: str) -> dict[str, str]:
         "anomaly_count long, total_frauds long, frauds_detected long")
     put("overview", overview, ["total_records"])
     put("fraud_detection_stats", RP.fraud_breakdown(tx, an), ["is_fraud", "status"])
-    dist = RP.amount_distribution(tx, an)
-    put("amount_distribution", dist.withColumn("_o", F.monotonically_increasing_id()), ["_o"])
+    put("amount_distribution", RP.amount_distribution(tx, an, keep_min=True), ["_min"])
     return out
 
 
