@@ -38,16 +38,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8) -> SparkSe
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder. In local mode one is made if it is unset; on a cluster that is an error."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        path = tempfile.mkdtemp(prefix="vigil-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        # The setting itself can't be changed while the session runs.
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="vigil-ckpt-"))
+        path = sc.getCheckpointDir()
     return path
 
 
