@@ -24,13 +24,13 @@ def _sql_for(view_name, feats, p):
 
 @pytest.mark.parametrize("params", [SMALL, IF.ForestParams(trees=20, sample_size=256, seed=3, contamination=0.1)])
 def test_sampling_regimes_match_sql(spark, duck, params):
-    # tx_acct has 1,500 rows: trees*psi = 640 takes the global top-k path,
-    # 20*256 = 5,120 takes the per-tree path.
+    # tx_acct has 1,500 rows: with trees*psi = 640 the trees are disjoint,
+    # with 20*256 = 5,120 they share rows.
     feats = ["amount", "v1"]
     d = DT.detect(view(spark, SF, "tx_acct"), feats, params=params, scale=False)
     ctes = _sql_for("tx_acct", feats, params)
-    sql_nodes = duck.execute(with_ctes(ctes, "SELECT tree, node, size, is_leaf, feature, round(split, 9), units FROM f_nodes")).fetchall()
-    sp_nodes = [(r["tree"], r["node"], r["size"], r["is_leaf"], r["feature"], None if r["split"] is None else round(r["split"], 9), r["units"])
+    sql_nodes = duck.execute(with_ctes(ctes, "SELECT tree, node, size, is_leaf, feature, split, units FROM f_nodes")).fetchall()
+    sp_nodes = [(r["tree"], r["node"], r["size"], r["is_leaf"], r["feature"], r["split"], r["units"])
                 for r in d.forest.nodes.collect()]
     assert sorted(sp_nodes, key=str) == sorted(sql_nodes, key=str)
     flagged_sql = {r[0] for r in duck.execute(with_ctes(ctes, "SELECT _id FROM f_scores, f_cut WHERE path_units < t_units")).fetchall()}

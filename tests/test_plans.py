@@ -44,14 +44,6 @@ def test_entry_runs(spark):
     assert len(rows) == 1 and rows[0]["total_checks"] == 5 * rows[0]["total_records"]
 
 
-def test_spread_only_narrow_inputs(spark):
-    from vigil.operators.detect import spread
-    narrow = spark.range(0, 1000, numPartitions=1)
-    assert spread(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism + 3)
-    assert "Exchange" not in _plan(spread(wide, "id"))
-
-
 def test_grow_partitions_not_coalesced(spark):
     from pyspark.sql import functions as F
     from vigil.operators import iforest as IF
@@ -74,12 +66,12 @@ def test_cut_reads_one_column_of_scored_table(spark):
     assert "FileScan parquet" in plan and "ReadSchema: struct<path_units:bigint>" in plan
 
 
-def test_stage_narrow_only_copies_narrow_inputs(spark):
-    from vigil.operators.detect import stage_narrow
-    cores = spark.sparkContext.defaultParallelism
-    narrow = spark.range(0, 2000, numPartitions=1).withColumnRenamed("id", "transaction_id")
-    staged = stage_narrow(narrow, "transaction_id")
-    assert "FileScan parquet" in _plan(staged) and staged.rdd.getNumPartitions() > 1
-    assert sorted(r[0] for r in staged.collect()) == list(range(2000))
-    wide = spark.range(0, 2000, numPartitions=cores + 1)
-    assert stage_narrow(wide, "id") is wide
+def test_detector_stages_its_input_only_when_asked(spark):
+    from vigil.operators import detect as DT
+    from vigil.sources.views import view
+    df = view(spark, SF, "tx_orders")
+    det = DT.detect(df, ["amount", "v1"], stage_partitions=4, carry=["region"])
+    assert "Join" not in _plan(det.source) and "FileScan parquet" in _plan(det.source)   # the view's joins ran once
+    assert det.source.columns == ["transaction_id", "amount", "v1", "region"]
+    assert det.source.count() == df.count()
+    assert DT.detect(df, ["amount", "v1"]).source is df

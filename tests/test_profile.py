@@ -1,4 +1,4 @@
-"""Quantiles (both paths), histogram and box-plot edge cases."""
+"""Quantiles, histogram and box-plot edge cases."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,11 +8,15 @@ from vigil.operators import profile as PR
 from vigil.sources.views import table
 
 
+def builtin(df, c, probs):
+    return list(df.agg(F.percentile(c, F.array(*[F.lit(p) for p in probs]))).first()[0])
+
+
 def test_selection_matches_builtin(spark):
     li = table(spark, SF, "lineitem")
     probs = [0.0, 0.02, 0.25, 0.5, 0.75, 0.999, 1.0]
-    exact = PR.quantiles(li, "l_extendedprice", probs)
-    selected = PR.quantiles(li, "l_extendedprice", probs, limit=0)   # force distributed selection
+    exact = builtin(li, "l_extendedprice", probs)
+    selected = PR.quantiles(li, "l_extendedprice", probs)
     assert [round(x, 9) for x in exact] == [round(x, 9) for x in selected]
 
 
@@ -22,11 +26,10 @@ def test_selection_with_hot_value(spark, monkeypatch):
         F.when(F.col("id") % 3 == 0, F.lit(42.0)).otherwise(F.col("id").cast("double")).alias("x"))
     monkeypatch.setattr(PR, "SELECT_COLLECT_LIMIT", 50)
     probs = [0.1, 0.33, 0.5, 0.9]
-    assert PR.quantiles(df, "x", probs) == PR.quantiles(df, "x", probs, limit=0)
+    assert PR.quantiles(df, "x", probs) == builtin(df, "x", probs)
     vals = sorted(r["x"] for r in df.collect())
-    for k in (0, 5000, 9999, 10000, 29999):
-        assert PR.order_statistic(df, "x", k, limit=0) == vals[k]
-        assert PR.order_statistic(df, "x", k) == vals[k]
+    ks = [0, 5000, 9999, 10000, 29999]
+    assert PR.order_statistics(df, "x", ks) == [vals[k] for k in ks]
 
 
 def test_one_row_histogram_and_box(spark):
@@ -63,18 +66,20 @@ def test_batched_selection_many_rounds(spark, monkeypatch):
     monkeypatch.setattr(PR, "SELECT_COLLECT_LIMIT", 20)
     vals = sorted(r["x"] for r in df.collect())
     ks = [0, 1, 2, 1250, 1251, 2499, 2500, 4998, 4999]
-    assert PR.order_statistics(df, "x", ks, limit=0) == [vals[k] for k in ks]
+    assert PR.order_statistics(df, "x", ks) == [vals[k] for k in ks]
     probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    assert PR.quantiles(df, "x", probs, limit=0) == PR.quantiles(df, "x", probs)
+    assert PR.quantiles(df, "x", probs) == builtin(df, "x", probs)
 
 
 def test_describe_selection_path_matches(spark, monkeypatch):
     li = table(spark, SF, "lineitem")
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     exact = PR.describe(li, cols).orderBy("column_name").collect()
+    for r in exact:
+        assert [r["p25"], r["p50"], r["p75"]] == [round(x, 6) for x in builtin(li, r["column_name"], [0.25, 0.5, 0.75])]
     monkeypatch.setattr(PR, "SELECT_BINS", 16)
     monkeypatch.setattr(PR, "SELECT_COLLECT_LIMIT", 500)
-    selected = PR.describe(li, cols, limit=0).orderBy("column_name").collect()
+    selected = PR.describe(li, cols).orderBy("column_name").collect()
     assert exact == selected
 
 

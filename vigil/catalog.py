@@ -419,7 +419,8 @@ def _detect(spark, sf_dir, view_name, features=None, scale=True, valid_amount=Fa
     df = view(spark, sf_dir, view_name)
     if valid_amount:
         df = _valid_amount(df)
-    return DT.detect(df, features or FEATURES[view_name], params=params, scale=scale)
+    return DT.detect(df, features or FEATURES[view_name], params=params, scale=scale,
+                     stage_partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def det_register(name: str, view_name: str, body: str, features=None, scale=True, where=None):
@@ -430,18 +431,14 @@ def det_register(name: str, view_name: str, body: str, features=None, scale=True
 _EV = FEATURES["tx_events"]
 
 
-@register("m1_standardize", SC.sql_standardize("tx_events", _EV, ["transaction_id"]).replace(
-    "SELECT b.transaction_id, ", "SELECT b.transaction_id, ", 1))
+@register("m1_standardize", with_views(
+    f"SELECT transaction_id, {', '.join(f'round({c}, 6) AS {c}' for c in _EV)} FROM ("
+    + SC.sql_standardize("tx_events", _EV, ["transaction_id"]) + ")"), raw=True)
 def m1_standardize(spark, sf_dir):
     df = view(spark, sf_dir, "tx_events").select("transaction_id", *_EV)
     return SC.standardize(df, _EV).select("transaction_id", *[F.round(c, 6).alias(c) for c in _EV])
 
 
-ORACLE["m1_standardize"] = with_views(
-    f"SELECT transaction_id, {', '.join(f'round({c}, 6) AS {c}' for c in _EV)} FROM ("
-    + SC.sql_standardize("tx_events", _EV, ["transaction_id"]) + ")")
-
-
 @det_register("m2_forest_nodes", "tx_events",
               "SELECT tree, node, depth, size, is_leaf, feature, round(split, 6) AS split, units FROM f_nodes")
 def m2_forest_nodes(spark, sf_dir):

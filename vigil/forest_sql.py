@@ -30,12 +30,8 @@ def forest_ctes(src: str, features: list[str], p: ForestParams = ForestParams())
     add("f_n", f"SELECT count(*) AS n, least({p.sample_size}, count(*)) AS psi, "
                f"CAST(CASE WHEN least({p.sample_size}, count(*)) > 1 THEN ceil(log2(least({p.sample_size}, count(*)))) ELSE 0 END AS INTEGER) AS maxd FROM {src}")
     add("f_pa", f"SELECT s.*, row_number() OVER (ORDER BY md5('{seed}:' || CAST(_id AS VARCHAR)), _id) AS rk FROM {src} s")
-    add("f_sa", f"SELECT CAST((rk - 1) % {T} AS INTEGER) AS tree, _id, {F} FROM f_pa, f_n WHERE n >= {T} * psi AND rk <= {T} * psi")
-    add("f_pb", f"""SELECT CAST(t.range AS INTEGER) AS tree, s.*,
-                    row_number() OVER (PARTITION BY t.range ORDER BY md5('{seed}:' || CAST(t.range AS VARCHAR) || ':' || CAST(s._id AS VARCHAR)), s._id) AS rk
-                    FROM {src} s CROSS JOIN range({T}) t""")
-    add("f_sb", f"SELECT tree, _id, {F} FROM f_pb, f_n WHERE n < {T} * psi AND rk <= psi")
-    add("f_m0", f"SELECT tree, 1 AS node, _id, {F} FROM f_sa UNION ALL SELECT tree, 1 AS node, _id, {F} FROM f_sb")
+    add("f_place", f"SELECT i.range AS place, psi, i.range % least(n, {T} * psi) AS rk0 FROM range({T * p.sample_size}) i, f_n WHERE i.range < {T} * psi")
+    add("f_m0", f"SELECT CAST(place // psi AS INTEGER) AS tree, 1 AS node, _id, {F} FROM f_place JOIN f_pa ON rk - 1 = rk0")
     nk = len(features)
     for d in range(levels + 1):
         mins = ", ".join(f"min({f}) AS mn{i}, max({f}) AS mx{i}" for i, f in enumerate(features))

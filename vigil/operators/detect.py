@@ -33,7 +33,7 @@ class Detection:
     n: int
     contamination: float
     method: str
-    source: DataFrame        # the input rows as read (the staged copy when the input was narrow)
+    source: DataFrame        # the input rows as read (the staged copy where one was asked for)
 
 
 def _raw_from_units(units: int, forest: IF.Forest) -> float:
@@ -55,7 +55,7 @@ def cut_for(scored: DataFrame, forest: IF.Forest, rates: list[float], n: int | N
         need[i] = need[j] = None
         plan.append((i, j, frac))
     ks = sorted(need)
-    vals = dict(zip(ks, order_statistics(valid, "path_units", ks, n)))
+    vals = dict(zip(ks, order_statistics(valid, "path_units", ks)))
     out = []
     for i, j, frac in plan:
         lo, hi = int(vals[i]), int(vals[j])
@@ -65,49 +65,34 @@ def cut_for(scored: DataFrame, forest: IF.Forest, rates: list[float], n: int | N
     return out, n
 
 
-def _narrow(df: DataFrame) -> bool:
-    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+def staged(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """`df` written once under the checkpoint folder, hash-spread by `key` over `partitions`.
 
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread an under-partitioned input over the cluster's cores.
-
-    A file written as one large row group scans as one partition, and the
-    scoring UDF would then run in a single task. Inputs that already have at
-    least `defaultParallelism` partitions (any large table) pass unchanged,
-    so at scale this adds no shuffle.
-    """
-    if not _narrow(df):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
-
-
-def stage_narrow(df: DataFrame, key: str) -> DataFrame:
-    """An under-partitioned input, spread once and written under the checkpoint folder.
-
-    The detector reads its input three times (statistics, sample, score).
-    On a one-partition input each pass would be one task that also repeats
-    the input's projections; the staged copy is read by all cores instead.
-    Inputs with enough partitions pass unchanged (no copy at scale).
+    For an input that is costly to compute (joins) or lies in few partitions:
+    the detector reads it three times (statistics, sample, score).
     """
-    if not _narrow(df):
-        return df
     spark = df.sparkSession
     path = scratch_dir(spark, "input")
-    spread(df, key).write.parquet(path)
+    df.repartition(partitions, key).write.parquet(path)
     return spark.read.parquet(path)
 
 
 def detect(df: DataFrame, features: list[str], id_col: str = "transaction_id",
            params: IF.ForestParams = IF.ForestParams(), scale: bool = True, method: str = METHOD,
-           checkpoint: bool = True) -> Detection:
+           checkpoint: bool = True, stage_partitions: int | None = None, carry: list[str] | None = None) -> Detection:
     """Fit on a hash sample, score every row, flag the `contamination` share.
 
+    `carry` names the columns kept beside the id and the features (None: all).
+    With `stage_partitions` the input is computed once and read from a copy
+    (see `staged`); otherwise it is read as it is.
+
     Rows with a missing or infinite feature get NULL scores and are never flagged.
     """
     zcols = [f"z_{c}" for c in features]
-    if checkpoint:
-        df = stage_narrow(df, id_col)
+    if carry is not None:
+        df = df.select(*dict.fromkeys([id_col, *features, *carry]))
+    if stage_partitions:
+        df = staged(df, id_col, stage_partitions)
     # An infinite feature has no place on a scale: it counts as missing.
     finite = {c: F.when(F.abs(F.col(c).cast("double")) < F.lit(math.inf), F.col(c).cast("double")) for c in features}
     complete = IF.complete_rows(df, features)
@@ -129,7 +114,7 @@ def detect(df: DataFrame, features: list[str], id_col: str = "transaction_id",
     else:
         prepared = df.select("*", *[finite[c].alias(z) for c, z in zip(features, zcols)])
     forest = IF.fit(prepared, id_col, zcols, params, stats)
-    scored = IF.score(spread(prepared, id_col), forest).drop(*zcols)
+    scored = IF.score(prepared, forest).drop(*zcols)
     if checkpoint:
         spark = df.sparkSession
         path = scratch_dir(spark, "scored")

@@ -113,6 +113,11 @@ def _prefilter(stats, k: int) -> float:
 def sample(df: DataFrame, id_col: str, features: list[str], p: ForestParams, stats=None) -> tuple[DataFrame, int, int]:
     """Training rows (tree, _id, features...) plus (n, psi).
 
+    The m = min(n, trees * psi) rows with the lowest hashes are dealt round:
+    place i of trees * psi takes the row of rank i mod m and belongs to tree
+    i div psi. So a tree has psi different rows, and trees share rows only
+    where the table is too small for disjoint ones.
+
     `stats` (a Row of `sample_stats_aggs` over the complete rows) saves the
     counting pass when the caller already aggregated the input.
     """
@@ -124,21 +129,17 @@ def sample(df: DataFrame, id_col: str, features: list[str], p: ForestParams, sta
         raise ValueError("no complete rows to train on")
     psi = min(p.sample_size, n)
     k = p.trees * psi
-    if n >= k:
-        # Every one of the k lowest hashes lies under t (at least k rows do), so the
-        # filter changes nothing but keeps the top-k gather near k rows per task.
-        t = _prefilter(stats, k)
-        keyed = base.withColumn("_h", md5_hex(p.seed, F.col("_id")))
-        cand = keyed.where(uniform(p.seed, F.col("_id")) < F.lit(t)) if t < 1.0 else keyed
-        top = cand.orderBy("_h", "_id").limit(k)
-        # The window runs over the k gathered rows only (bounded by trees * psi).
-        rk = F.row_number().over(Window.orderBy("_h", "_id"))
-        s = top.withColumn("tree", ((rk - 1) % p.trees).cast("int"))
-    else:
-        per = base.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(p.trees - 1))))
-        per = per.withColumn("_h", md5_hex(p.seed, F.col("tree"), F.col("_id")))
-        rk = F.row_number().over(Window.partitionBy("tree").orderBy("_h", "_id"))
-        s = per.withColumn("_rk", rk).where(F.col("_rk") <= psi)
+    m = min(n, k)
+    # Every one of the m lowest hashes lies under t (at least m rows do), so the
+    # filter changes nothing but keeps the top-m gather near m rows per task.
+    t = _prefilter(stats, m)
+    keyed = base.withColumn("_h", md5_hex(p.seed, F.col("_id")))
+    cand = keyed.where(uniform(p.seed, F.col("_id")) < F.lit(t)) if t < 1.0 else keyed
+    top = cand.orderBy("_h", "_id").limit(m)
+    # Window and explode run over the m gathered rows only and make trees * psi rows.
+    rk = (F.row_number().over(Window.orderBy("_h", "_id")) - 1).cast("long")
+    places = F.sequence(F.col("_rk"), F.lit(k - 1).cast("long"), F.lit(m).cast("long"))
+    s = top.withColumn("_rk", rk).withColumn("_place", F.explode(places)).withColumn("tree", F.expr(f"_place div {psi}"))
     return s.select(F.col("tree").cast("int"), "_id", *features), n, psi
 
 
@@ -287,25 +288,6 @@ def cut_rank(n: int, contamination: float) -> tuple[int, float]:
     return i, pos - i
 
 
-def threshold_units(scored: DataFrame, contamination: float, n: int | None = None) -> tuple[int | None, int]:
-    """Integer threshold T: a row is flagged iff path_units < T.
-
-    Equal to `raw_score < percentile(raw_score, contamination)` with linear
-    interpolation, computed exactly: T is the order statistic at rank
-    floor(c (n-1)), or the next one when the interpolation falls strictly
-    between two values.
-    """
-    from vigil.operators.profile import order_statistic
-    valid = scored.where(F.col("path_units").isNotNull())
-    if n is None:
-        n = valid.count()
-    if n == 0:
-        return None, 0
-    i, frac = cut_rank(n, contamination)
-    k = min(i + 1, n - 1) if frac > 0 else i
-    return int(order_statistic(valid, "path_units", k, n)), n
-
-
 def sql_c_factor(m: str) -> str:
     return (f"(CASE WHEN {m} > 2 THEN 2.0 * (ln({m} - 1) + {EULER_GAMMA}) - 2.0 * ({m} - 1) / {m} "
             f"WHEN {m} = 2 THEN 1.0 ELSE 0.0 END)")

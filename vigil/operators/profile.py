@@ -16,11 +16,6 @@ from pyspark.sql.window import Window
 
 from vigil.functions.nulls import is_floating
 
-# Above this many values the built-in exact `percentile` (one final buffer of
-# all distinct values, in one task) is replaced by distributed selection.
-# Measured on local[8]: the built-in wins at 60k-100k values, selection at
-# 600k (2.7 s against 4.9 s for four columns).
-EXACT_PERCENTILE_LIMIT = 200_000
 SELECT_BINS = 2048
 SELECT_COLLECT_LIMIT = 100_000
 
@@ -181,51 +176,27 @@ def quantiles_many(df: DataFrame, cols: list[str], probs: list[float]) -> dict[s
     return out
 
 
-def quantiles(df: DataFrame, c: str, probs: list[float], limit: int = EXACT_PERCENTILE_LIMIT) -> list[float | None]:
-    """Exact linear-interpolation quantiles (pandas / `percentile` semantics).
-
-    Small inputs use the built-in `percentile` in one aggregate. Larger ones
-    find all needed order statistics together by distributed selection, so no
-    task ever holds more than `SELECT_COLLECT_LIMIT` values.
-    """
-    values = df.select(clean(df, c).alias("x")).where(F.col("x").isNotNull())
-    st = values.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    n = st["n"]
-    if n == 0:
-        return [None for _ in probs]
-    if n <= limit:
-        got = values.agg(F.percentile("x", F.array(*[F.lit(float(p)) for p in probs])).alias("q")).first()["q"]
-        return list(got)
-    plan = _rank_plan(n, probs)
-    got = _kth_values(values.select(F.lit(0).alias("g"), "x"), [(0, k) for i, j, _ in plan for k in (i, j)],
-                      {0: (st["lo"], st["hi"])})
-    return [got[(0, i)] if frac == 0 else _interpolate(got[(0, i)], got[(0, j)], frac) for i, j, frac in plan]
+def quantiles(df: DataFrame, c: str, probs: list[float]) -> list[float | None]:
+    """Exact linear-interpolation quantiles of one column (pandas / `percentile` semantics)."""
+    return quantiles_many(df, [c], probs)[c]
 
 
 # ----------------------------------------------------------------- describe
-def describe(df: DataFrame, cols: list[str], digits: int = 6, limit: int = EXACT_PERCENTILE_LIMIT) -> DataFrame:
+def describe(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     """Per column: count, mean, sample std, min, 25/50/75 % (exact), max.
 
-    Moments for all columns come from one aggregate. On small inputs the
-    exact built-in `percentile` rides in that aggregate; on larger ones the
-    quartiles of all columns come from one batched distributed selection
-    (`quantiles_many`), so the number of scans does not grow with the columns.
+    Moments for all columns come from one aggregate, the quartiles of all
+    columns from one batched distributed selection (`quantiles_many`), so the
+    number of scans does not grow with the columns.
     """
     aggs = []
     for c in cols:
         x = clean(df, c)
         aggs += [F.count(x).cast("long").alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-    n_rows = df.count()
-    if n_rows <= limit:
-        for c in cols:
-            aggs.append(F.percentile(clean(df, c), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__q"))
-        wide = df.agg(*aggs)
-        qcol = {c: (F.col(f"{c}__q")[0], F.col(f"{c}__q")[1], F.col(f"{c}__q")[2]) for c in cols}
-    else:
-        wide = df.agg(*aggs)
-        many = quantiles_many(df, cols, [0.25, 0.5, 0.75])
-        qcol = {c: tuple(F.lit(v).cast("double") for v in many[c]) for c in cols}
+    wide = df.agg(*aggs)
+    many = quantiles_many(df, cols, [0.25, 0.5, 0.75])
+    qcol = {c: tuple(F.lit(v).cast("double") for v in many[c]) for c in cols}
     rows = [
         F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__count").alias("count"),
                  F.round(F.col(f"{c}__mean"), digits).alias("mean"), F.round(F.col(f"{c}__std"), digits).alias("std"),
@@ -297,37 +268,11 @@ def boxplot_stats(df: DataFrame, c: str, whis: float = 1.5) -> DataFrame:
     )
 
 
-def order_statistic(df: DataFrame, c: str, k: int, n: int | None = None, limit: int = EXACT_PERCENTILE_LIMIT) -> float | None:
-    """Exact k-th smallest (0-based) non-missing value of `c`.
-
-    Small inputs: `percentile_disc` at the middle of rank k's share (an exact
-    element, no interpolation). Larger ones: distributed selection.
-    """
-    values = df.select(clean(df, c).alias("x")).where(F.col("x").isNotNull())
-    if n is None:
-        n = values.count()
-    if n == 0:
-        return None
-    if n <= limit:
-        p = (k + 0.5) / n
-        return values.select(F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY x)").alias("q")).first()["q"]
-    st = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    return _kth_values(values.select(F.lit(0).alias("g"), "x"), [(0, k)], {0: (st["lo"], st["hi"])})[(0, k)]
-
-
-def order_statistics(df: DataFrame, c: str, ks: list[int], n: int | None = None,
-                     limit: int = EXACT_PERCENTILE_LIMIT) -> list[float | None]:
-    """Several exact order statistics; one aggregate on small inputs."""
-    values = df.select(clean(df, c).alias("x")).where(F.col("x").isNotNull())
-    if n is None:
-        n = values.count()
-    if n == 0:
+def order_statistics(df: DataFrame, c: str, ks: list[int]) -> list[float | None]:
+    """Exact k-th smallest (0-based) non-missing values of `c`, by distributed selection."""
+    values = df.select(F.lit(0).alias("g"), clean(df, c).alias("x")).where(F.col("x").isNotNull())
+    st = values.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    if st["n"] == 0:
         return [None for _ in ks]
-    if n <= limit:
-        exprs = [F.expr(f"percentile_disc({(k + 0.5) / n!r}) WITHIN GROUP (ORDER BY x)").alias(f"q{i}")
-                 for i, k in enumerate(ks)]
-        row = values.agg(*exprs).first()
-        return [row[f"q{i}"] for i in range(len(ks))]
-    st = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    got = _kth_values(values.select(F.lit(0).alias("g"), "x"), [(0, k) for k in ks], {0: (st["lo"], st["hi"])})
+    got = _kth_values(values, [(0, k) for k in ks], {0: (st["lo"], st["hi"])})
     return [got[(0, k)] for k in ks]

@@ -96,7 +96,7 @@ def detect(spark: SparkSession, root: str, features=DETECT_FEATURES,
 
 
 def export(spark: SparkSession, root: str, out_dir: str) -> dict[str, str]:
-    """Writes the seven report documents; returns report name -> folder."""
+    """Writes the seven report documents (the history, which grows, as JSON lines, the others as arrays); returns report name -> folder."""
     p = paths(root)
     tx = TB.read_table(spark, p["raw_transactions"], ["transaction_id", "amount", "class"]) \
         .withColumn("amount", F.col("amount").cast("double"))
@@ -105,13 +105,13 @@ def export(spark: SparkSession, root: str, out_dir: str) -> dict[str, str]:
     hist = TB.read_table(spark, p["data_quality_history"])
     out = {}
 
-    def put(name, df, order):
+    def put(name, df, order, form="array"):
         path = f"{out_dir.rstrip('/')}/{name}"
-        TB.write_report(df, path, order)
+        TB.write_report(df, path, order, form)
         out[name] = path
 
     put("quality_history", RP.history_ordered(hist).withColumn("record_date", F.col("record_date").cast("string")),
-        ["record_date"])
+        ["record_date"], "lines")
     summary = Q.summary_long(res)
     put("validation_summary", summary, ["rule_name"])
     # The first failures are picked before the join, which then reads that many rows of one side.

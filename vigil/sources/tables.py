@@ -80,24 +80,18 @@ def report_array(df: DataFrame, order_by: list[str]) -> DataFrame:
                                            lambda e: e["_r"]), {"ignoreNullFields": "false"}).alias("value"))
 
 
-# Largest report gathered into one JSON array document (one value in one task).
-REPORT_ARRAY_LIMIT = 100_000
+def write_report(df: DataFrame, path: str, order_by: list[str], form: str = "array") -> None:
+    """Write a report: "array" is one JSON array document, "lines" ordered JSON lines over many files.
 
-
-def write_report(df: DataFrame, path: str, order_by: list[str], max_records: int = REPORT_ARRAY_LIMIT) -> str:
-    """Write a report as one JSON array document; returns the form written.
-
-    The row count is checked first: up to `max_records` rows the records
-    are gathered into one array ("array"); above it the same records are
-    written as ordered JSON lines over many files ("lines"), so no task ever
-    gathers an unbounded report and no row is dropped.
+    "array" gathers the records into one value, so it is for reports bounded
+    by construction (top-k, per-rule, per-bucket rows); a report that grows,
+    such as a history, is written as lines.
     """
-    if df.count() <= max_records:
+    if form == "array":
         report_array(df, order_by).coalesce(1).write.mode("overwrite").text(path)
-        return "array"
+        return
     keep = [c for c in df.columns if not c.startswith("_")]
     write_json_lines(df.orderBy(*order_by).select(*keep), path)
-    return "lines"
 
 
 def read_json_report(spark: SparkSession, path: str, schema: T.StructType, form: str = "array") -> DataFrame:
