@@ -93,6 +93,12 @@ def test_unique_key_rule(spark):
     assert got == [(-1, False), (1, True), (2, False), (2, False)]
 
 
+def test_unique_key_of_two_columns(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (2, 1), (1, None), (1, None)], "a long, b long")
+    got = sorted((r["a"], r["b"] or -1, r["unique_id"]) for r in R.unique_key_rule(df, ["a", "b"]).collect())
+    assert got == [(1, -1, False), (1, -1, False), (1, 1, True), (1, 2, True), (2, 1, False), (2, 1, False)]
+
+
 def test_long_form_has_no_exchange(spark):
     from vigil.sources.views import view
     from conftest import SF

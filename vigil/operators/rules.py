@@ -15,7 +15,6 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from vigil.functions.nulls import guarded, present
 
@@ -114,24 +113,19 @@ def failures(long_results: DataFrame) -> DataFrame:
     return long_results.where(~F.col("rule_passed"))
 
 
-def unique_key_rule(df: DataFrame, key: str, name: str = "unique_id") -> DataFrame:
-    """Adds boolean `name`: the key value occurs exactly once.
+def unique_key_rule(df: DataFrame, keys: str | list[str], name: str = "unique_id") -> DataFrame:
+    """Adds boolean `name`: the key (of one or more columns) is whole and occurs exactly once.
 
-    Uses a grouped count joined back rather than a window, so a key holding a
-    large share of rows is counted with partial aggregation instead of being
-    pulled whole into one window partition.
+    Only the keys that occur more than once are joined back, and rows with a
+    NULL in the key don't join at all, so neither a hot key's count nor the
+    NULL rows gather in one task.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_key_n"))
-    return (df.join(counts, df[key].eqNullSafe(counts[key]), "left")
-              .drop(counts[key])
-              .withColumn(name, F.coalesce(F.col("_key_n") == 1, F.lit(False)) & F.col(key).isNotNull())
-              .drop("_key_n"))
-
-
-def window_unique_flag(df: DataFrame, key: str, name: str = "unique_id") -> DataFrame:
-    """Same result as `unique_key_rule` with a window; fine for well-spread keys."""
-    w = Window.partitionBy(key)
-    return df.withColumn(name, F.col(key).isNotNull() & (F.count(F.lit(1)).over(w) == 1))
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    repeated = (df.where(whole).groupBy(*keys).agg(F.count(F.lit(1)).alias("_key_n")).where(F.col("_key_n") > 1)
+                  .select(*keys, F.lit(True).alias("_repeated")))
+    checked = df.where(whole).join(repeated, keys, "left").select(*df.columns, F.col("_repeated").isNull().alias(name))
+    return checked.unionByName(df.where(~whole).withColumn(name, F.lit(False)))
 
 
 def results_table(df: DataFrame, rules=DEFAULT_RULES, id_col: str = "transaction_id") -> DataFrame:

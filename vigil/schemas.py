@@ -77,7 +77,14 @@ SAMPLE_TRANSACTIONS = T.StructType([
     T.StructField("region", T.StringType(), True),
 ])
 
+# Order dates as text.
+ORDER_DATES = T.StructType([
+    T.StructField("o_orderkey", T.LongType(), True),
+    T.StructField("day", T.StringType(), True),
+])
+
 TABLES = {
+    "raw_transactions": raw_transactions_schema(),
     "validation_results": VALIDATION_RESULTS,
     "anomalies": ANOMALIES,
     "data_quality_history": QUALITY_HISTORY,
