@@ -491,8 +491,7 @@ def a8_fraud_breakdown(spark, sf_dir):
     FROM tx_acct rt LEFT JOIN an a ON rt.transaction_id = a.transaction_id
     GROUP BY amount_range ORDER BY min(rt.amount) NULLS FIRST""")
 def a9_amount_distribution(spark, sf_dir):
-    d = _detect(spark, sf_dir, "tx_acct")
-    return RP.amount_distribution(d.source, DT.anomalies(d))
+    return RP.amount_distribution_scored(_detect(spark, sf_dir, "tx_acct").scored)
 
 
 @det_register("w6_order_by_aggregate", "tx_events", f"""
@@ -501,8 +500,7 @@ def a9_amount_distribution(spark, sf_dir):
     FROM tx_events rt LEFT JOIN an a ON rt.transaction_id = a.transaction_id
     GROUP BY amount_range ORDER BY min(rt.amount) NULLS FIRST""")
 def w6_order_by_aggregate(spark, sf_dir):
-    d = _detect(spark, sf_dir, "tx_events")
-    return RP.amount_distribution(d.source, DT.anomalies(d))
+    return RP.amount_distribution_scored(_detect(spark, sf_dir, "tx_events").scored)
 
 
 @det_register("a11_anomalies_by_region", "tx_orders", """

@@ -68,6 +68,15 @@ def amount_distribution(tx: DataFrame, anoms: DataFrame, amount_col: str = "amou
              .orderBy(F.col("_min").asc_nulls_first()).drop(*[] if keep_min else ["_min"]))
 
 
+def amount_distribution_scored(scored: DataFrame, amount_col: str = "amount",
+                               cuts=AMOUNT_CUTS, labels=AMOUNT_LABELS) -> DataFrame:
+    """Same rows from a scored frame (one detector): one aggregate, no join."""
+    return (scored.groupBy(bucketize(amount_col, cuts, labels).alias("amount_range"))
+                  .agg(F.count(F.lit(1)).cast("long").alias("total"), F.count_if("flagged").cast("long").alias("anomalies"),
+                       F.min(amount_col).alias("_min"))
+                  .orderBy(F.col("_min").asc_nulls_first()).drop("_min"))
+
+
 def amount_buckets(df: DataFrame, amount_col: str = "amount") -> DataFrame:
     return df.withColumn("amount_range", bucketize(amount_col))
 
