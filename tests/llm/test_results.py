@@ -93,6 +93,24 @@ def test_graph_search_finds_what_brute_force_finds():
     assert sum(len(f) for f in found) >= 0.99 * truth.sum() and truth.max() > 300
 
 
+@pytest.mark.parametrize("dense, sparse", [(21, 43), (2000, 60)])
+def test_audit_weighs_every_query_alike(dense, sparse):
+    from vigil.llm.hnsw import search
+    dice = np.random.default_rng(6)
+    x = dice.normal(size=(3000 + sparse, 32))
+    x[:3000] = x[0] + dice.normal(size=(3000, 32)) * 0.02
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+
+    class Narrow:  # finds the dense group with any beam, single nodes with a wide one
+        def near(self, q, width, low):
+            found = [np.flatnonzero(row >= low) for row in q @ x.T]
+            return [f if len(f) > 100 or width >= 256 else f[:0] for f in found]
+    graph = Narrow()
+    graph.x = x
+    found, beam = search(graph, np.concatenate([x[:dense], x[3000:]]))
+    assert beam >= 256 and all(map(len, found))
+
+
 def test_languages(spark):
     from vigil.llm.language import op4_language_id
     truth = dict(duckdb.sql(f"SELECT doc_id, lang FROM '{SF}/documents.parquet'").fetchall())
