@@ -122,6 +122,22 @@ def test_languages(spark):
     assert pages and sum(r.lang == r.declared for r in pages) >= 0.9 * len(pages)
 
 
+def test_copies_and_common_languages_leave_room_in_the_samples(spark, monkeypatch):
+    from vigil.llm import extract, language
+    texts = [(f"the house number {i} of the long street", "en") for i in range(300)] + [(f"das haus nummer {i} an der langen gasse", "de") for i in range(3)]
+    texts += [(t, lang) for t, lang in texts for _ in range(60)]  # whichever text has the lowest hash, its copies would fill the sample
+    langs, logs = language.train(spark.createDataFrame(texts, "text string, lang string"), most=40)
+    assert langs == ["de", "en"] and logs.shape == (2, language.CELLS)
+    counts = np.bincount(language.trigrams("das haus nummer 1 an der langen gasse"), minlength=language.CELLS)
+    seen = np.exp(logs[0].astype(float)) > np.exp(logs[0].min()) * 1.5
+    assert seen[counts > 0].all()
+    taken = []
+    monkeypatch.setattr(extract, "train", lambda pages: taken.extend(pages))
+    pages = [(i, f"<article><p>page {i % 12}</p></article>") for i in range(12 * 50)]
+    extract.extract(spark.createDataFrame([(i, "u", h) for i, h in pages], "page_id long, url string, html string"), train_pages=8)
+    assert len(taken) == len(set(taken)) == 8
+
+
 def test_evidence_decides_where_the_text_is_silent(spark):
     from vigil.llm.language import CELLS, identify, trigrams
     text = {"en": "the quick and the dead of the house that was here with them and others", "de": "der hund und die katze sind nicht immer in dem haus gewesen aber doch"}

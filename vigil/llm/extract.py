@@ -8,7 +8,7 @@ picks the likeliest labelling in which no node with text of the article sits
 below one without (a tree dynamic program), and the text blocks chosen are the
 result.
 
-Training pages: the `TRAIN_PAGES` pages with the lowest hashes. Where their
+Training pages: the `TRAIN_PAGES` distinct pages with the lowest hashes. Where their
 markup is explicit (article or main) it gives the labels. As other sites name
 things otherwise, each is also trained on in `VARIANTS` rewritten forms: its
 paragraphs and its boilerplate under other elements and attribute names, with
@@ -350,7 +350,9 @@ def main_texts(htmls: list[str | None], model: Boosted) -> list[str]:
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", train_pages: int = TRAIN_PAGES) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     pages = df.select(df[id_col].cast("long").alias("page_id"), df[url_col].cast("string").alias("url"), df[html_col].cast("string").alias("html"))
-    sample = [r[0] for r in pages.where("length(html) > 0").orderBy(F.xxhash64("html"), "page_id").limit(train_pages).select("html").collect()]
+    hashed = pages.where("length(html) > 0").select("html", F.xxhash64("html").alias("h"))
+    lowest = hashed.select("h").distinct().orderBy("h").limit(train_pages)  # train_pages numbers; copies count once
+    sample = [r[0] for r in hashed.join(F.broadcast(lowest), "h", "left_semi").dropDuplicates(["h"]).orderBy("h").select("html").collect()]
     shared = df.sparkSession.sparkContext.broadcast(train(sample))  # a few thousand numbers
 
     def run(batch):

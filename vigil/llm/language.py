@@ -8,8 +8,10 @@ grouped counts of the text decisions of all records: a host's prior is
 smoothed towards its domain's and that towards the prior of all records, and
 a record's own decision is taken out of its host's and domain's counts.
 
-The text models are fitted to the labelled documents with the lowest hashes
-(at most `TRAIN_DOCS`). Likelihoods of neighbouring trigrams are far from
+The text models are fitted to labelled documents: of every language the
+distinct texts with the lowest hashes, about `TRAIN_DOCS` of them (all of a
+language that has no more), so neither copies nor common languages push a rare
+language out; the sample is bounded by that times the languages. Likelihoods of neighbouring trigrams are far from
 independent, so a text counts as at most `TEXT_WEIGHT` trigrams of its mean.
 
 Defined cases: without text the other evidence decides, without any of it the
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F
 
 from vigil.llm.common import map_batches, stage
 
-TRAIN_DOCS = 4000
+TRAIN_DOCS = 4000       # distinct texts of a language
+TRAIN_TASKS = 4
 CELLS = 1 << 16
 TEXT_WEIGHT = 40.0
 HOST_SMOOTHING, DOMAIN_SMOOTHING = 8.0, 16.0
@@ -68,9 +71,14 @@ def address(url: str | None) -> tuple[str | None, str | None, str | None]:
 
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", most: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray]:
-    """(languages, log probability of each cell) from at most `most` documents."""
-    sample = (labelled.select(labelled[text_col].alias("text"), labelled[lang_col].alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-              .orderBy(F.xxhash64("text"), "lang").limit(most))
+    """(languages, log probability of each cell) from about `most` distinct texts of each language, all where it has no more."""
+    rows = labelled.select(labelled[text_col].cast("string").alias("text"), labelled[lang_col].cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    sizes = rows.select("lang", "h").distinct().groupBy("lang").count().collect()  # a row per language
+    # Hashes are even, so a language's share below its cut is about `most` of its texts; no task ranks a whole language.
+    cuts = [(lang, min(2 ** 63 - 1, -2 ** 63 + int(2 ** 64 * min(1.0, most / n)))) for lang, n in sizes]
+    cuts = labelled.sparkSession.createDataFrame(cuts, "lang string, cut long")
+    sample = rows.join(F.broadcast(cuts), "lang").where("h <= cut").dropDuplicates(["lang", "h"]).coalesce(TRAIN_TASKS)  # each gives one row of cells per language
 
     def count(batches):
         held: dict[str, np.ndarray] = {}
