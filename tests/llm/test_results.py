@@ -138,6 +138,22 @@ def test_copies_and_common_languages_leave_room_in_the_samples(spark, monkeypatc
     assert len(taken) == len(set(taken)) == 8
 
 
+def test_declared_language_is_found_anywhere_in_the_page(spark):
+    import time
+    from vigil.llm.language import CELLS, declared_language, identify
+    page = lambda before: f'<!doctype html>{before}<HTML class="x" LANG="de"><body></body></html>'
+    pages = [page(b) for b in ("", "<!--" + "licence " * 2000 + "-->", " " * 100000, "<script>" + "x=1;" * 3000 + "</script>", '<!-- <html lang="en"> -->', "<html>", "<!-->")]
+    rows = [("p", i, None, h, None, None) for i, h in enumerate(pages)]
+    df = spark.createDataFrame(rows, "key string, id long, text string, html string, url string, host string")
+    got = identify(df, ["de", "en"], np.full((2, CELLS), -11, np.float32)).collect()
+    assert [r.declared for r in got] == ["de"] * len(pages)
+    assert declared_language("<p>lang=en</p>") is None
+    began = time.perf_counter()
+    for hostile in ("<!--", "<html ", "<", "<html lang", "<!-- -"):
+        declared_language(hostile * 300000)
+    assert time.perf_counter() - began < 10
+
+
 def test_evidence_decides_where_the_text_is_silent(spark):
     from vigil.llm.language import CELLS, identify, trigrams
     text = {"en": "the quick and the dead of the house that was here with them and others", "de": "der hund und die katze sind nicht immer in dem haus gewesen aber doch"}

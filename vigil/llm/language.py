@@ -42,7 +42,9 @@ MIN_BYTES = 12          # shorter texts decide nothing that is counted
 SURE = 2.0              # decisions are counted where the best language leads by so much
 
 _GONE = re.compile(r"(?is)<!--.*?-->|<(script|style|nav|footer|noscript)\b.*?</\1\s*>|<[^>]*>")
-_LANG = re.compile(r"""(?is)<html\b[^>]*?\blang\s*=\s*["']?([a-z]{2,3})""")
+# Each match takes a whole comment or <html> tag, so a page is read once at most.
+_HTML = re.compile(r"(?is)<!--(?:-?>|.*?(?:-->|\Z))|<html\b([^>]*)")
+_LANG = re.compile(r"""(?i)\blang\s*=\s*["']?([a-z]{2,3})""")
 _SPACE = re.compile(rb"[\x00-\x40\x5b-\x60\x7b-\x7f]+")
 
 
@@ -50,6 +52,15 @@ def visible(html: str) -> str:
     return entities.unescape(_GONE.sub(" ", html))
 
 
+def declared_language(html: str) -> str | None:
+    """The language of the first <html> tag that names one, wherever it stands outside comments."""
+    for tag in _HTML.finditer(html):
+        found = _LANG.search(tag.group(1) or "")
+        if found:
+            return found.group(1).lower()[:2]
+    return None
+
+
 def trigrams(text: str) -> np.ndarray:
     """Cells of the byte trigrams of the lower-cased text; runs of ASCII non-letters are one space."""
     raw = np.frombuffer(b" " + _SPACE.sub(b" ", text.lower().encode()).strip() + b" ", np.uint8).astype(np.uint32)
@@ -118,8 +129,7 @@ def identify(records: DataFrame, langs: list[str], logs: np.ndarray) -> DataFram
         for html, text, url, host in zip(*(batch.column(c).to_pylist() for c in ("html", "text", "url", "host"))):
             declared, domain, suffix = None, host, None
             if html is not None or url is not None:
-                found = _LANG.search(html[:4096] if html and len(html) > 4096 else html or "")
-                declared = found.group(1).lower()[:2] if found else None
+                declared = declared_language(html or "")
                 host, domain, suffix = address(url)
                 text = visible(html or "")
             cells = trigrams(text or "")
