@@ -286,6 +286,57 @@ def test_line_groups_against_all_pairs(spark, texts):
     assert links
 
 
+def test_line_groups_against_edit_distance_alone(spark, texts):
+    from pyspark.sql import functions as F
+    from vigil.llm.lines import op9_line_dedup, text_lines
+    lines = sorted((i, n, x.decode()) for i, t in texts.items() for n, x, _ in text_lines(t))
+    distinct = sorted({x for *_, x in lines})
+    table = spark.createDataFrame(list(enumerate(distinct)), "i long, x string").repartition(8)
+    most = "greatest(length(a.x), length(b.x)) div 10"
+    both = table.alias("a").join(F.broadcast(table).alias("b"), F.expr(f"a.i < b.i AND abs(length(a.x) - length(b.x)) <= {most}"))
+    links = [tuple(r) for r in both.where(f"levenshtein(a.x, b.x, cast({most} AS int)) >= 0").select("a.i", "b.i").collect()]
+    root, at = roots(range(len(distinct)), links), {x: i for i, x in enumerate(distinct)}
+    first = {}
+    for i, n, x in lines:
+        first.setdefault(root[at[x]], (i, n))
+    got = {(r.doc_id, r.line_no): (r.kept_doc_id, r.kept_line_no, r.kept) for r in op9_line_dedup(spark, SF).collect()}
+    assert links and got == {(i, n): (*first[root[at[x]]], (i, n) == first[root[at[x]]]) for i, n, x in lines}
+
+
+def edited(line, n, dice):
+    chars = list(line)
+    for _ in range(n):
+        at, kind = int(dice.integers(len(chars))), dice.integers(3)
+        chars[at:at + (kind != 1)] = [] if kind == 0 else ["qxyz"[dice.integers(4)]]
+    return "".join(chars)
+
+
+def test_line_recall_against_edit_distance_alone(spark, texts):
+    from pyspark.sql import functions as F
+    from vigil.llm.lines import duplicates, text_lines
+    dice = np.random.default_rng(4)
+    plain = sorted({x.decode() for t in texts.values() for _, x, _ in text_lines(t)})
+    lines = []
+    for i in range(360):
+        n = (18, 30, 45, 70, 100, 200)[i % 6]
+        base = dice.choice([x for x in plain if len(x) >= n][:400])[:n]
+        share = (i // 6) % 3
+        lines += [base, edited(base, (1, max(1, n // 20), n // 10)[share], dice)]
+    lines = [" ".join(x.split()) for x in lines]
+    same = "one two three " * 20
+    lines += [same.strip(), "x" + same.strip()]  # repeats one run of characters over and over
+    lines = sorted({x for x in lines if text_lines(x)})
+    table = spark.createDataFrame(list(enumerate(lines)), "i long, x string")
+    both = table.alias("a").join(table.alias("b"), F.expr("a.i < b.i AND abs(length(a.x) - length(b.x)) * 10 <= greatest(length(a.x), length(b.x))"))
+    truth = both.selectExpr("a.i AS a", "b.i AS b", "a.x AS x", "b.x AS y").where("levenshtein(x, y) * 10 <= greatest(length(x), length(y))").select("a", "b").collect()
+    root = roots(range(len(lines)), [tuple(r) for r in truth])
+    got = {r.doc_id: r.group_id for r in duplicates(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()}
+    found = [got[a] == got[b] for a, b in truth]
+    exact = [got[a] == got[b] for a, b in truth if max(len(lines[a]), len(lines[b])) < 60]
+    assert len(exact) > 100 and all(exact) and len(found) > 250 and sum(found) >= 0.98 * len(found)
+    assert len({(root[i], got[i]) for i in got}) == len(set(got.values()))  # nothing else is joined
+
+
 def test_scores(spark, texts):
     from vigil.llm.scoring import learn_weights, op10_lm_scores
     tokens = {i: [*(t or "").encode().lower().split(), None] for i, t in texts.items()}
