@@ -337,6 +337,16 @@ def test_line_recall_against_edit_distance_alone(spark, texts):
     assert len({(root[i], got[i]) for i in got}) == len(set(got.values()))  # nothing else is joined
 
 
+def test_lines_without_spaces_are_deduplicated(spark):
+    from vigil.llm.lines import duplicates
+    chinese = "".join(chr(0x4e00 + 37 * i % 9000) for i in range(40))
+    url = "https://example.org/" + "a_long_path" * 6
+    lines = [chinese, url, "Privacy policy", "ok"]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(lines)), (3, chinese[:20] + "x" + chinese[21:])]
+    got = {(r.doc_id, r.line_no): (r.kept_doc_id, r.kept_line_no, r.kept) for r in duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**{(d, n): (1, n, d == 1) for d in (1, 2) for n in range(3)}, (3, 0): (1, 0, False)}
+
+
 def test_scores(spark, texts):
     from vigil.llm.scoring import learn_weights, op10_lm_scores
     tokens = {i: [*(t or "").encode().lower().split(), None] for i, t in texts.items()}
