@@ -109,7 +109,8 @@ def test_long_form_has_no_exchange(spark):
 def test_sample_rules(spark):
     df = spark.createDataFrame([(1, "2024-02-30", None, 0.0), (2, "", 5, 3.0), (3, "2024-03-01", 7, -1.0)],
                                "transaction_id long, transaction_date string, customer_id long, amount double")
-    w = {r["transaction_id"]: r for r in R.evaluate_wide(df, R.SAMPLE_RULES).collect()}
+    rules = [R.positive("positive_amount", "amount"), R.not_blank("customer_present", "customer_id"), R.parseable_date("parseable_date", "transaction_date")]
+    w = {r["transaction_id"]: r for r in R.evaluate_wide(df, rules).collect()}
     assert [w[i]["parseable_date"] for i in (1, 2, 3)] == [False, False, True]
     assert [w[i]["customer_present"] for i in (1, 2, 3)] == [False, True, True]
     assert [w[i]["positive_amount"] for i in (1, 2, 3)] == [False, True, False]

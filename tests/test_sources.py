@@ -7,12 +7,12 @@ import os
 
 from pyspark.sql import functions as F
 
+import synth as SY
 from conftest import SF
 from vigil import schemas as SCH
 from vigil.functions.nulls import nan_to_null
 from vigil.session import scratch_dir
 from vigil.sources import csv as CSV
-from vigil.sources import synth as SY
 from vigil.sources import tables as TB
 from vigil.sources.ids import with_dense_id
 from vigil.sources.views import table

@@ -39,3 +39,22 @@ def sql_uniform(*parts: str) -> str:
     """The same draw as a DuckDB SQL expression; parts are SQL expressions."""
     key = " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
     return f"(CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) / 4294967296.0)"
+
+
+def integer(lo: int, hi: int, *parts) -> Column:
+    """Column of whole numbers lo..hi, both included."""
+    return (F.lit(lo) + F.floor(uniform(*parts) * (hi - lo + 1))).cast("long")
+
+
+def choice(values: list, *parts) -> Column:
+    """Column of one of `values`, each as likely."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.floor(uniform(*parts) * len(values)) + 1).cast("int"))
+
+
+def sql_integer(lo: int, hi: int, *parts: str) -> str:
+    return f"CAST({lo} + floor({sql_uniform(*parts)} * {hi - lo + 1}) AS BIGINT)"
+
+
+def sql_choice(values: list[str], *parts: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"([{listed}])[CAST(floor({sql_uniform(*parts)} * {len(values)}) AS INTEGER) + 1]"

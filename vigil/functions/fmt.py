@@ -13,12 +13,6 @@ def currency(c: Column | str) -> Column:
     return F.when(c < 0, F.concat(F.lit("-"), body)).otherwise(body)
 
 
-def percent(c: Column | str, digits: int = 1) -> Column:
-    """`65.2%` style text."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.format_string(f"%.{digits}f%%", c.cast("double"))
-
-
 def label_text(c: Column | str, positive: str = "FRAUD", negative: str = "Normal") -> Column:
     """1 -> positive label, anything else -> negative label."""
     c = F.col(c) if isinstance(c, str) else c

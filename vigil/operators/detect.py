@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.operators import iforest as IF
-from vigil.operators.profile import order_statistics
-from vigil.operators.scaling import apply_scaler, fit_scaler, scaler_aggs
+from vigil.operators.profile import neighbours_many
+from vigil.operators.scaling import apply_scaler
 from vigil.session import scratch_dir
 
 METHOD = "IsolationForest"
@@ -40,25 +40,14 @@ def _raw_from_units(units: int, forest: IF.Forest) -> float:
     return -(2.0 ** (-(units / (IF.UNITS * forest.trees)) / forest.c_psi))
 
 
-def cut_for(scored: DataFrame, forest: IF.Forest, rates: list[float], n: int | None = None):
-    """Per rate: (t_units, cut_raw). One pass of order statistics for all rates."""
-    valid = scored.where(F.col("path_units").isNotNull())
-    if n is None:
-        n = valid.count()
+def cut_for(scored: DataFrame, forest: IF.Forest, rates: list[float]):
+    """Per rate (t_units, cut_raw), and the number of rows with a score. Two scans of one column for all rates."""
+    n, around = neighbours_many(scored, ["path_units"], list(rates))["path_units"]
     if n == 0:
         return [(None, None) for _ in rates], 0
-    need = {}
-    plan = []
-    for c in rates:
-        i, frac = IF.cut_rank(n, c)
-        j = min(i + 1, n - 1)
-        need[i] = need[j] = None
-        plan.append((i, j, frac))
-    ks = sorted(need)
-    vals = dict(zip(ks, order_statistics(valid, "path_units", ks)))
     out = []
-    for i, j, frac in plan:
-        lo, hi = int(vals[i]), int(vals[j])
+    for lo, hi, frac in around:
+        lo, hi = int(lo), int(hi)
         t = hi if frac > 0 else lo
         rlo, rhi = _raw_from_units(lo, forest), _raw_from_units(hi, forest)
         out.append((t, rlo + (rhi - rlo) * frac))
@@ -69,7 +58,7 @@ def staged(df: DataFrame, key: str, partitions: int) -> DataFrame:
     """`df` written once under the checkpoint folder, hash-spread by `key` over `partitions`.
 
     For an input that is costly to compute (joins) or lies in few partitions:
-    the detector reads it three times (statistics, sample, score).
+    the detector reads it twice (survey, score).
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "input")
@@ -95,32 +84,18 @@ def detect(df: DataFrame, features: list[str], id_col: str = "transaction_id",
         df = staged(df, id_col, stage_partitions)
     # An infinite feature has no place on a scale: it counts as missing.
     finite = {c: F.when(F.abs(F.col(c).cast("double")) < F.lit(math.inf), F.col(c).cast("double")) for c in features}
-    complete = IF.complete_rows(df, features)
-    for c in features:
-        complete = complete.where(finite[c].isNotNull())
-    # One aggregate sizes the sample and, when scaling, fits the scaler.
-    aggs = IF.sample_stats_aggs() + (scaler_aggs(complete, features) if scale else [])
-    stats = IF.with_draw(complete, params, id_col).agg(*aggs).first()
-    # Rows with a score = complete rows, unless scaling can turn a complete row's
-    # value into NaN. With finite means and deviations it cannot: every value is
-    # then finite, and (x - m) / s is finite or +-inf. Then the cut needs no count.
-    n_scored = stats["_n"]
+    found = IF.survey(df, id_col, features, params)
+    forest = IF.fit(found, params, scale)
+    prepared = df.select("*", *[finite[c].alias(z) for c, z in zip(features, zcols)])
     if scale:
-        sp = fit_scaler(complete, features, stats)
-        prepared = apply_scaler(df.select("*", *[finite[c].alias(z) for c, z in zip(features, zcols)]),
-                                {z: sp[c] for c, z in zip(features, zcols)})
-        if not all(math.isfinite(v) for c in features for v in sp[c]):
-            n_scored = None
-    else:
-        prepared = df.select("*", *[finite[c].alias(z) for c, z in zip(features, zcols)])
-    forest = IF.fit(prepared, id_col, zcols, params, stats)
-    scored = IF.score(prepared, forest).drop(*zcols)
+        prepared = apply_scaler(prepared, {z: (found.mean[c], found.std[c] or 1.0) for c, z in zip(features, zcols)})
+    scored = IF.score(prepared, forest, zcols).drop(*zcols)
     if checkpoint:
         spark = df.sparkSession
         path = scratch_dir(spark, "scored")
         scored.write.parquet(path)
         scored = spark.read.parquet(path)
-    (t_units, cut_raw), n = (lambda r: (r[0][0], r[1]))(cut_for(scored, forest, [params.contamination], n_scored))
+    (t_units, cut_raw), n = (lambda r: (r[0][0], r[1]))(cut_for(scored, forest, [params.contamination]))
     scored = scored.withColumn("decision", F.col("raw_score") - F.lit(cut_raw).cast("double")) \
                    .withColumn("flagged", F.coalesce(F.col("path_units") < F.lit(t_units), F.lit(False)))
     return Detection(scored, forest, t_units, cut_raw, n, params.contamination, method, df)
@@ -161,7 +136,7 @@ def metrics(det: Detection, label_col: str = "class") -> DataFrame:
 
 def sweep(det: Detection, rates: list[float] = (0.01, 0.02, 0.05, 0.10)) -> DataFrame:
     """Flagged count per contamination rate from one scoring pass (only the cut moves)."""
-    cuts, n = cut_for(det.scored, det.forest, list(rates), det.n)
+    cuts, n = cut_for(det.scored, det.forest, list(rates))
     spark = det.scored.sparkSession
     expr = [F.count_if(F.col("path_units") < F.lit(t)).cast("long").alias(f"r{i}") for i, (t, _) in enumerate(cuts)]
     counts = det.scored.agg(*expr)

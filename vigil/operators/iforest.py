@@ -1,10 +1,12 @@
 """Isolation forest (Liu, Ting and Zhou, ICDM 2008) as Spark jobs.
 
-* Sample: psi = min(sample_size, n) rows per tree, chosen by md5 draws of
-  (seed, row) so any engine can rebuild the choice. With n >= trees * psi
-  the trees take disjoint slices of the `trees * psi` rows with the lowest
-  hashes (one pass; a hash pre-filter keeps the top-k gather bounded);
-  otherwise each tree ranks the rows by its own hash (n is small then).
+* Survey: one pass over the rows gives their number, the moments of the
+  features, and of every partition the `trees * sample_size` rows with the
+  lowest md5 draws of (seed, row). Both merge, so the pass is the only one
+  before scoring, and any engine can rebuild the choice of rows.
+* Sample: psi = min(sample_size, n) rows per tree. The trees * psi places are
+  dealt round over the rows with the lowest draws, so trees share rows only
+  where the table is too small for disjoint ones.
 * Grow: `groupBy("tree").applyInPandas`, one task per tree on psi rows.
   Feature and split come from md5 draws of (seed, tree, node). The result
   is a node table with at most trees * (2 psi - 1) rows.
@@ -23,13 +25,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from vigil.functions.draws import TWO_32, md5_hex, py_uniform, uniform
-from vigil.functions.nulls import present
+from vigil.functions.draws import TWO_32, md5_hex, py_uniform
+from vigil.session import scratch_dir
 
 EULER_GAMMA = 0.5772156649015329
 UNITS = 1e9                    # path length fixed point: 1e-9
@@ -72,75 +75,122 @@ NODE_SCHEMA = T.StructType([
 ])
 
 
-def complete_rows(df: DataFrame, features: list[str]) -> DataFrame:
-    cond = F.lit(True)
-    for c in features:
-        cond = cond & present(df, c)
-    return df.where(cond)
-
-
 # ------------------------------------------------------------------ sample
-HASH_LEVELS = 40   # pre-filter thresholds 2**-1 .. 2**-40 of the row draw
+HASH_LEVELS = 32   # thresholds 2**-1 .. 2**-32 of the row draw
+
+SURVEY = "_h binary, _id string, x array<double>, n long, mean array<double>, m2 array<double>"
+
+
+class _Lowest:
+    """The rows with the lowest hashes of a partition, at most `most` of them, and the moments of all its rows."""
+
+    def __init__(self, most: int, width: int):
+        self.most, self.n = most, 0
+        self.mean, self.m2 = np.zeros(width), np.zeros(width)
+        self.hash, self.x, self.ids = np.zeros((0, 2), np.uint64), np.zeros((0, width)), np.zeros(0, object)
+
+    def add(self, hashes: np.ndarray, x: np.ndarray, ids) -> None:
+        m = len(x)
+        if not m:
+            return
+        mean = x.mean(axis=0)
+        away = mean - self.mean
+        self.m2 += ((x - mean) ** 2).sum(axis=0) + away ** 2 * (self.n * m / (self.n + m))
+        self.mean += away * (m / (self.n + m))
+        self.n += m
+        if len(self.hash) >= self.most:  # only what can still be among the lowest
+            near = np.flatnonzero(hashes[:, 0] <= self.hash[:, 0].max())
+            hashes, x, ids = hashes[near], x[near], ids.take(near)
+        self.hash, self.x = np.concatenate([self.hash, hashes]), np.concatenate([self.x, x])
+        self.ids = np.concatenate([self.ids, np.array(ids.to_pylist(), object)])
+        if len(self.hash) > self.most:
+            keep = np.lexsort((self.hash[:, 1], self.hash[:, 0]))[:self.most]
+            self.hash, self.x, self.ids = self.hash[keep], self.x[keep], self.ids[keep]
+
+    def rows(self) -> pa.RecordBatch:
+        own = len(self.hash)
+        keys = [h.tobytes() for h in self.hash.astype(">u8")]
+        columns = [(pa.array([*keys, None], pa.binary())), pa.array([*self.ids, None], pa.string()), pa.array([*self.x.tolist(), None], pa.list_(pa.float64())),
+                   pa.array([None] * own + [self.n], pa.int64()), *[pa.array([None] * own + [v.tolist()], pa.list_(pa.float64())) for v in (self.mean, self.m2)]]
+        return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SURVEY.split(", ")])
 
 
-def with_draw(df: DataFrame, p: ForestParams, id_col: str = "_id") -> DataFrame:
-    """Adds `_u`, the row's sample draw, so the level counts hash each row once."""
-    return df.withColumn("_u", uniform(p.seed, F.col(id_col)))
+@dataclass
+class Survey:
+    """What the first pass finds: rows, means and population deviations by feature, and the candidates of the sample."""
+    features: list[str]
+    n: int
+    mean: dict[str, float]
+    std: dict[str, float]
+    candidates: DataFrame   # _h, _id, x
 
 
-def sample_stats_aggs() -> list:
-    """Aggregates (over `with_draw` rows) that size the sample: row count and rows under each hash level.
+def survey(df: DataFrame, id_col: str, features: list[str], p: ForestParams) -> Survey:
+    """One pass over the complete rows with finite features.
 
-    They ride along in the same aggregate as the scaling statistics, so the
-    sample needs no counting pass of its own.
+    Every partition hands on at most trees * sample_size rows (`_Lowest`),
+    whatever its size, and one row of moments.
     """
-    u = F.col("_u")
-    return [F.count(F.lit(1)).alias("_n")] + [
-        F.count_if(u < F.lit(2.0 ** -j)).alias(f"_lvl{j}") for j in range(1, HASH_LEVELS + 1)]
+    xs = [F.col(c).cast("double") for c in features]
+    rows = df.select(F.unhex(md5_hex(p.seed, F.col(id_col))).alias("_h"), F.col(id_col).cast("string").alias("_id"), *[x.alias(f"x{i}") for i, x in enumerate(xs)])
+    for i in range(len(xs)):
+        rows = rows.where(F.abs(f"x{i}") < F.lit(math.inf))  # no null and no NaN either: NaN is the largest
+    most, width = p.trees * p.sample_size, len(features)
+
+    def run(batches):
+        lowest = _Lowest(most, width)
+        for batch in batches:
+            raw = batch.column("_h").cast(pa.binary(16))
+            hashes = np.frombuffer(raw.buffers()[1], ">u8", 2 * len(raw), 16 * raw.offset).reshape(-1, 2).astype(np.uint64)
+            x = np.stack([batch.column(f"x{i}").to_numpy(zero_copy_only=False) for i in range(width)], axis=1) if width else np.zeros((len(raw), 0))
+            lowest.add(hashes, x, batch.column("_id"))
+        yield lowest.rows()
 
-
-def _prefilter(stats, k: int) -> float:
-    """Smallest 2**-j keeping at least k rows under it (1.0 = no filter)."""
-    t = 1.0
-    for j in range(1, HASH_LEVELS + 1):
-        if stats[f"_lvl{j}"] >= k:
-            t = 2.0 ** -j
-        else:
-            break
-    return t
-
-
-def sample(df: DataFrame, id_col: str, features: list[str], p: ForestParams, stats=None) -> tuple[DataFrame, int, int]:
-    """Training rows (tree, _id, features...) plus (n, psi).
+    spark = df.sparkSession
+    path = scratch_dir(spark, "survey")
+    rows.mapInArrow(run, SURVEY).write.parquet(path)
+    found = spark.read.parquet(path)
+    moments = found.where("n > 0")
+    at = lambda c, i: F.element_at(c, i + 1)
+    first = moments.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[F.sum(F.col("n") * at("mean", i)).alias(f"s{i}") for i in range(width)]).first()
+    n = first["n"]
+    mean = [first[f"s{i}"] / n if n else 0.0 for i in range(width)]
+    spread = moments.agg(*[F.sum(at("m2", i) + F.col("n") * F.pow(at("mean", i) - F.lit(mean[i]), F.lit(2.0))).alias(f"q{i}") for i in range(width)]).first()
+    std = [math.sqrt(max(spread[f"q{i}"], 0.0) / n) if n else 0.0 for i in range(width)]
+    return Survey(features, n, dict(zip(features, mean)), dict(zip(features, std)), found.where("_h IS NOT NULL").select("_h", "_id", "x"))
+
+
+def sample(found: Survey, p: ForestParams, scale: bool = False) -> tuple[DataFrame, int]:
+    """Training rows (tree, _id, features...) and psi.
 
     The m = min(n, trees * psi) rows with the lowest hashes are dealt round:
     place i of trees * psi takes the row of rank i mod m and belongs to tree
-    i div psi. So a tree has psi different rows, and trees share rows only
-    where the table is too small for disjoint ones.
-
-    `stats` (a Row of `sample_stats_aggs` over the complete rows) saves the
-    counting pass when the caller already aggregated the input.
+    i div psi. So a tree has psi different rows. With `scale` the features
+    are standardised.
     """
-    base = complete_rows(df, features).select(F.col(id_col).alias("_id"), *features)
-    if stats is None:
-        stats = with_draw(base, p).agg(*sample_stats_aggs()).first()
-    n = stats["_n"]
-    if n == 0:
+    if found.n == 0:
         raise ValueError("no complete rows to train on")
-    psi = min(p.sample_size, n)
+    psi = min(p.sample_size, found.n)
     k = p.trees * psi
-    m = min(n, k)
-    # Every one of the m lowest hashes lies under t (at least m rows do), so the
-    # filter changes nothing but keeps the top-m gather near m rows per task.
-    t = _prefilter(stats, m)
-    keyed = base.withColumn("_h", md5_hex(p.seed, F.col("_id")))
-    cand = keyed.where(uniform(p.seed, F.col("_id")) < F.lit(t)) if t < 1.0 else keyed
-    top = cand.orderBy("_h", "_id").limit(m)
+    m = min(found.n, k)
+    # The m lowest are among the candidates; those under the lowest power of two that m of them are under include them.
+    u = F.conv(F.hex(F.substring("_h", 1, 4)), 16, 10).cast("double") / F.lit(TWO_32)
+    level = F.when(u > 0, F.least(F.floor(-F.log2(u)), F.lit(HASH_LEVELS))).otherwise(HASH_LEVELS).cast("int")
+    candidates = found.candidates.withColumn("_level", level)
+    lowest, under = 0, 0
+    for row in sorted(candidates.groupBy("_level").agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        lowest, under = row["_level"], under + row["n"]
+        if under >= m:
+            break
+    top = candidates.where(F.col("_level") >= lowest).orderBy("_h", "_id").limit(m)
     # Window and explode run over the m gathered rows only and make trees * psi rows.
     rk = (F.row_number().over(Window.orderBy("_h", "_id")) - 1).cast("long")
     places = F.sequence(F.col("_rk"), F.lit(k - 1).cast("long"), F.lit(m).cast("long"))
     s = top.withColumn("_rk", rk).withColumn("_place", F.explode(places)).withColumn("tree", F.expr(f"_place div {psi}"))
-    return s.select(F.col("tree").cast("int"), "_id", *features), n, psi
+    x = [F.element_at("x", i + 1) for i in range(len(found.features))]
+    if scale:
+        x = [(v - F.lit(found.mean[c])) / F.lit(found.std[c] or 1.0) for v, c in zip(x, found.features)]
+    return s.select(F.col("tree").cast("int"), "_id", *[v.alias(c) for v, c in zip(x, found.features)]), psi
 
 
 # -------------------------------------------------------------------- grow
@@ -216,8 +266,10 @@ class Forest:
         return c_factor(self.psi)
 
 
-def fit(df: DataFrame, id_col: str, features: list[str], p: ForestParams = ForestParams(), stats=None) -> Forest:
-    training, n, psi = sample(df, id_col, features, p, stats)
+def fit(found: Survey, p: ForestParams = ForestParams(), scale: bool = False) -> Forest:
+    """The forest grown on the sample of a survey; with `scale`, over standardised features."""
+    features, n = found.features, found.n
+    training, psi = sample(found, p, scale)
     nodes = grow(training, features, psi, p.seed, p.trees)
     rows = nodes.collect()   # bounded: at most trees * (2 psi - 1) rows
     depth = max_depth(psi)
@@ -233,13 +285,13 @@ def fit(df: DataFrame, id_col: str, features: list[str], p: ForestParams = Fores
             units[t, nd] = r["units"]
         else:
             feat[t, nd], split[t, nd] = r["feature"], r["split"]
-    spark = df.sparkSession
+    spark = training.sparkSession
     node_df = spark.createDataFrame([tuple(r) for r in rows], NODE_SCHEMA) if rows else nodes
     return Forest(features, p.trees, psi, n, depth, feat, split, leaf, units, node_df)
 
 
-def path_units(forest: Forest):
-    """pandas UDF: integer sum over trees of path lengths (units 1e-9); NULL if a feature is missing."""
+def path_units(forest: Forest, columns: list[str] | None = None):
+    """pandas UDF over `columns` (default: the features): integer sum over trees of path lengths (units 1e-9); NULL if one is missing."""
     spark_ctx = forest.nodes.sparkSession.sparkContext
     bc = spark_ctx.broadcast((forest.feature, forest.split, forest.leaf, forest.units, forest.depth))
 
@@ -266,7 +318,7 @@ def path_units(forest: Forest):
         out[ok] = total
         return out
 
-    return score(*[F.col(c).cast("double") for c in forest.features])
+    return score(*[F.col(c).cast("double") for c in columns or forest.features])
 
 
 def raw_score(units_col, forest: Forest):
@@ -275,9 +327,9 @@ def raw_score(units_col, forest: Forest):
     return -F.pow(F.lit(2.0), -mean_h / F.lit(forest.c_psi))
 
 
-def score(df: DataFrame, forest: Forest) -> DataFrame:
+def score(df: DataFrame, forest: Forest, columns: list[str] | None = None) -> DataFrame:
     """Adds `path_units` (long) and `raw_score` (double) to every row."""
-    out = df.withColumn("path_units", path_units(forest))
+    out = df.withColumn("path_units", path_units(forest, columns))
     return out.withColumn("raw_score", raw_score(F.col("path_units"), forest))
 
 

@@ -3,21 +3,23 @@ box-plot statistics, and exact quantiles that scale.
 
 Missing values (null, and NaN on float columns) are skipped by every
 statistic, as pandas does. One-row statistics are brought to the driver and
-used as literals; no statistic joins or crosses back onto the data.
+used as literals; no statistic joins or crosses back onto the data. Exact
+quantiles take two scans: a sketch that brackets the ranks, and a count.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from vigil.functions.nulls import is_floating
+from vigil.session import scratch_dir
 
-SELECT_BINS = 2048
-SELECT_COLLECT_LIMIT = 100_000
+ACCURACY = 10_000       # of the quantile sketch: a rank is off by at most n / ACCURACY
+MARGIN = 3 / ACCURACY   # of a bracket on either side of its rank
+PART_VALUES = 100_000   # distinct values that one task puts in order
 
 
 def clean(df: DataFrame, c: str) -> Column:
@@ -37,175 +39,168 @@ def category_counts(df: DataFrame, c: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- quantiles
-def _interpolate(vlo: float, vhi: float, frac: float) -> float:
-    return vlo if vlo == vhi else vlo + (vhi - vlo) * frac  # equal infinite neighbours have no difference
+def numeric_columns(df: DataFrame) -> list[str]:
+    """Names of the columns of a number type, in table order."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def _interval_id(bounds: list[tuple[int, float, float]]) -> Column:
-    """Index of the interval (group g, closed [a, b]) holding (`g`, `x`), else NULL.
-
-    Within a group the intervals are disjoint.
-    """
-    g, x = F.col("g"), F.col("x")
-    out = None
-    for i, (gi, a, b) in enumerate(bounds):
-        cond = (g == F.lit(gi)) & (x >= F.lit(a)) & (x <= F.lit(b))
-        out = F.when(cond, F.lit(i)) if out is None else out.when(cond, F.lit(i))
-    return out
+def _interpolate(vlo: float, vhi: float, frac: float) -> float:
+    return vlo if vlo == vhi else vlo + (vhi - vlo) * frac  # equal infinite neighbours have no difference
 
 
-def _kth_values(values: DataFrame, ranks: list[tuple[int, int]],
-                bounds: dict[int, tuple[float, float]]) -> dict[tuple[int, int], float]:
-    """Exact k-th smallest values of `x` per group `g`, by histogram refinement.
+def _marks(probs: list[float]) -> list[float]:
+    return sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-MARGIN, MARGIN)})
 
-    `values` has columns g (int) and x (double, no NULL); `ranks` holds
-    (g, k) pairs with 0-based k; `bounds[g]` = (min, max) of group g.
 
-    Each round is one scan for all open ranks of all groups: every open rank
-    lies in an interval, intervals of one group are equal or disjoint (bins
-    of bins), and one aggregate bins each interval into `SELECT_BINS` bins.
-    A bin whose values are all equal ends its ranks at once, so a value held
-    by a large share of rows costs no extra round. Bins of at most
-    `SELECT_COLLECT_LIMIT` values are finished together in one job that ranks
-    the values inside each bin (a window partitioned by bin, so no task sorts
-    more than that many values).
-    """
-    out: dict[tuple[int, int], float] = {}
-    # Open rank -> (a, b, below): it lies among the values in [a, b]; `below` values lie under a.
-    open_ranks = {(g, k): (bounds[g][0], bounds[g][1], 0) for g, k in sorted(set(ranks))}
-    if any(math.isinf(v) for g, _ in open_ranks for v in bounds[g]):
-        # Infinite values are counted; bins are for the finite ones between them.
-        x, inf = F.col("x"), F.lit(math.inf)
-        finite = F.when(F.abs(x) < inf, x)
-        parts = {r["g"]: r for r in values.groupBy("g").agg(F.count_if(x == -inf).alias("low"), F.count(finite).alias("n"),
-                                                          F.min(finite).alias("mn"), F.max(finite).alias("mx")).collect()}
-        for g, k in list(open_ranks):
-            low, n = parts[g]["low"], parts[g]["n"]
-            open_ranks[(g, k)] = (-math.inf,) * 2 + (0,) if k < low else (math.inf,) * 2 + (0,) if k >= low + n else (parts[g]["mn"], parts[g]["mx"], low)
-        values = values.where(F.abs(x) < inf)
-    while open_ranks:
-        for key, (a, b, _) in list(open_ranks.items()):
-            if a == b:
-                out[key] = a
-                del open_ranks[key]
-        if not open_ranks:
-            break
-        ivs = sorted({(g, a, b) for (g, _), (a, b, _) in open_ranks.items()})
-        iv = _interval_id(ivs)
-        x = F.col("x")
-        lo_of = F.element_at(F.array(*[F.lit(a) for _, a, _ in ivs]), F.col("iv") + 1)
-        width_of = F.element_at(F.array(*[F.lit(b / 2 - a / 2) for _, a, b in ivs]), F.col("iv") + 1)
-        b_col = F.least(F.floor((x / 2 - lo_of / 2) / width_of * F.lit(SELECT_BINS)), F.lit(SELECT_BINS - 1)).cast("int")
-        rows = (values.select(iv.alias("iv"), x).where(F.col("iv").isNotNull())
-                      .groupBy("iv", b_col.alias("b"))
-                      .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                      .collect())
-        bins: dict[int, list] = {}
-        for row in sorted(rows, key=lambda r: (r["iv"], r["b"])):
-            bins.setdefault(row["iv"], []).append(row)
-        finals: dict[tuple[int, int], tuple[int, float, float, int]] = {}
-        nxt = {}
-        for (g, k), (a, b, below) in open_ranks.items():
-            r = k - below
-            for row in bins[ivs.index((g, a, b))]:
-                if r < row["n"]:
-                    if row["mn"] == row["mx"]:
-                        out[(g, k)] = row["mn"]
-                    elif row["n"] <= SELECT_COLLECT_LIMIT:
-                        finals[(g, k)] = (g, row["mn"], row["mx"], r)
-                    else:
-                        nxt[(g, k)] = (row["mn"], row["mx"], k - r)
-                    break
-                r -= row["n"]
-            else:  # pragma: no cover - k out of range
-                raise ValueError("rank beyond the data")
-        if finals:
-            out.update(_rank_in_bins(values, finals))
-        open_ranks = nxt
+def sketch_aggs(df: DataFrame, cols: list[str], probs: list[float]) -> list[Column]:
+    """Per column its count, bounds, and the quantile sketch at the ends of the bracket of each probability."""
+    out = []
+    for i, c in enumerate(cols):
+        x = clean(df, c)
+        out += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), F.percentile_approx(x, _marks(probs), ACCURACY).alias(f"at{i}")]
     return out
 
 
-def _rank_in_bins(values: DataFrame, finals: dict[tuple[int, int], tuple[int, float, float, int]]) -> dict:
-    """(g, k) -> the r-th smallest value inside its small bin [mn, mx] of group g; one job for all."""
-    ivs = sorted({(g, mn, mx) for g, mn, mx, _ in finals.values()})
-    rn = F.row_number().over(Window.partitionBy("iv").orderBy("x")) - 1
-    ranked = values.select(_interval_id(ivs).alias("iv"), "x").where(F.col("iv").isNotNull()) \
-                   .withColumn("rn", rn)
-    want = None
-    for g, mn, mx, r in finals.values():
-        cond = (F.col("iv") == F.lit(ivs.index((g, mn, mx)))) & (F.col("rn") == F.lit(r))
-        want = cond if want is None else want | cond
-    got = {(row["iv"], row["rn"]): row["x"] for row in ranked.where(want).collect()}
-    return {key: got[(ivs.index((g, mn, mx)), r)] for key, (g, mn, mx, r) in finals.items()}
-
+def _brackets(row, i: int, probs: list[float]) -> list[tuple[float, float]]:
+    """Disjoint intervals, in order, that hold the values at the probabilities of column i."""
+    found = dict(zip(_marks(probs), row[f"at{i}"]))
+    out: list[tuple[float, float]] = []
+    for p in sorted(set(probs)):
+        low, high = found[min(max(p - MARGIN, 0.0), 1.0)], found[min(max(p + MARGIN, 0.0), 1.0)]
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
 
-def _stacked(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(g, x): column index and its cleaned value, missing values dropped (a Generate in the scan stage)."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("g"), clean(df, c).alias("x")) for i, c in enumerate(cols)])
-    return df.select(F.inline(pairs)).where(F.col("x").isNotNull())
 
+def _cells(df: DataFrame, cols: list[str], brackets: list[list[tuple[float, float]]]) -> DataFrame:
+    """(g, cell, v, n, mn, mx): how many values of column g lie in each cell, per value v inside a bracket.
 
-def _rank_plan(n: int, probs: list[float]) -> list[tuple[int, int, float]]:
-    plan = []
-    for p in probs:
-        pos = p * (n - 1)
-        i = int(pos // 1)
-        plan.append((i, min(i + 1, n - 1), pos - i))
-    return plan
+    Cell 2j lies under bracket j, cell 2j + 1 is bracket j. One scan of all
+    columns; a value that many rows share, and all that lies between the
+    brackets, is added up before the shuffle.
+    """
+    each = []
+    for g, (c, own) in enumerate(zip(cols, brackets)):
+        x = clean(df, c)
+        cell = sum(((x >= F.lit(a)).cast("int") + (x > F.lit(b)).cast("int") for a, b in own), F.lit(0))
+        each.append(F.struct(F.lit(g).alias("g"), cell.alias("cell"), x.alias("x")))
+    values = df.select(F.inline(F.array(*each))).where(F.col("x").isNotNull())
+    value = F.when(F.col("cell") % 2 == 1, F.col("x"))
+    return values.groupBy("g", "cell", value.alias("v")).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
 
 
-def quantiles_many(df: DataFrame, cols: list[str], probs: list[float]) -> dict[str, list[float | None]]:
-    """Exact linear-interpolation quantiles of several columns by distributed selection.
+def _ranked(cells: DataFrame, wanted: list[tuple[int, int, int]], distinct: int) -> dict[tuple[int, int, int], float]:
+    """The values at the ranks (g, cell, r) within their brackets.
 
-    All columns go through the same rounds: one scan per round for every
-    rank of every column, whatever the number of columns.
+    The distinct values are dealt out in order, about `PART_VALUES` to a task;
+    a rank is found by the totals of the parts first, then inside its part.
+    """
+    spark = cells.sparkSession
+    path = scratch_dir(spark, "brackets")
+    parts = max(1, -(-distinct // PART_VALUES))
+    cells.where("cell % 2 = 1").select("g", "cell", "v", "n").repartitionByRange(parts, "g", "cell", "v").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    placed = spark.read.parquet(path)
+    totals: dict[tuple[int, int], list] = {}
+    for row in placed.groupBy("g", "cell", "part").agg(F.sum("n").alias("n")).orderBy("part").collect():
+        totals.setdefault((row["g"], row["cell"]), []).append(row)
+    targets = []
+    for g, cell, r in wanted:
+        left = r
+        for row in totals[(g, cell)]:
+            if left < row["n"]:
+                targets.append((g, cell, row["part"], r, left))
+                break
+            left -= row["n"]
+    upto = F.sum("n").over(Window.partitionBy("g", "cell", "part").orderBy("v"))
+    at = spark.createDataFrame(targets, "g int, cell int, part int, r long, left_over long")
+    found = (placed.withColumn("upto", upto).join(F.broadcast(at), ["g", "cell", "part"])
+                   .where((F.col("left_over") < F.col("upto")) & (F.col("left_over") >= F.col("upto") - F.col("n"))))
+    return {(row["g"], row["cell"], row["r"]): row["v"] for row in found.collect()}
+
+
+def neighbours_many(df: DataFrame, cols: list[str], probs: list[float], row=None) -> dict[str, tuple[int, list]]:
+    """Per column (n, [(x_i, x_i+1, frac) per probability]): the exact values around each rank p * (n - 1).
+
+    Two scans, whatever the data and the number of columns. The first fits a
+    mergeable quantile sketch (`row`, if the caller's aggregate holds
+    `sketch_aggs` already), which brackets every rank. The second counts what
+    lies between the brackets and each value inside; the few values inside are
+    put in order apart. A rank next to a bracket is the end of a gap. Should a
+    sketch ever miss its bound by more, the gap is taken as the next bracket.
     """
-    values = _stacked(df, cols)
-    st = {r["g"]: r for r in values.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
-                                                        F.max("x").alias("hi")).collect()}
-    plans = {g: _rank_plan(r["n"], probs) for g, r in st.items()}
-    got = _kth_values(values, [(g, k) for g, pl in plans.items() for i, j, _ in pl for k in (i, j)],
-                      {g: (r["lo"], r["hi"]) for g, r in st.items()})
-    out = {}
+    if row is None:
+        row = df.agg(*sketch_aggs(df, cols, probs)).first()
+    out: dict[str, tuple[int, list]] = {c: (0, [None for _ in probs]) for c in cols}
+    plans, brackets = {}, [[] for _ in cols]
     for g, c in enumerate(cols):
-        if g not in plans:
-            out[c] = [None for _ in probs]
-        else:
-            out[c] = [got[(g, i)] if frac == 0 else _interpolate(got[(g, i)], got[(g, j)], frac)
-                      for i, j, frac in plans[g]]
+        if row[f"n{g}"]:
+            brackets[g] = _brackets(row, g, probs)
+            plans[g] = [(int(pos // 1), min(int(pos // 1) + 1, row[f"n{g}"] - 1), pos - pos // 1) for pos in (p * (row[f"n{g}"] - 1) for p in probs)]
+    got: dict[tuple[int, int], float] = {}
+    open_ranks = {(g, k) for g, plan in plans.items() for i, j, _ in plan for k in (i, j)}
+    while open_ranks:
+        path = scratch_dir(df.sparkSession, "cells")
+        _cells(df, cols, brackets).write.parquet(path)
+        cells = df.sparkSession.read.parquet(path)
+        sums = sorted(cells.groupBy("g", "cell").agg(F.sum("n").alias("n"), F.min("mn").alias("mn"), F.max("mx").alias("mx"), F.count(F.lit(1)).alias("d")).collect())
+        wanted, missed = {}, {}
+        for g, k in open_ranks:
+            left = k
+            for s in (s for s in sums if s["g"] == g):
+                if left < s["n"]:
+                    if s["cell"] % 2:
+                        wanted[(g, s["cell"], left)] = k
+                    elif left == 0 or left == s["n"] - 1 or s["mn"] == s["mx"]:
+                        got[(g, k)] = s["mn"] if left == 0 else s["mx"]
+                    else:
+                        missed[(g, k)] = (s["mn"], s["mx"])
+                    break
+                left -= s["n"]
+        if wanted:
+            for key, v in _ranked(cells, list(wanted), sum(s["d"] for s in sums if s["cell"] % 2)).items():
+                got[(key[0], wanted[key])] = v
+        brackets = [sorted({b for (h, _), b in missed.items() if h == g}) for g in range(len(cols))]
+        open_ranks = set(missed)
+    for g, plan in plans.items():
+        out[cols[g]] = (row[f"n{g}"], [(got[(g, i)], got[(g, j)], frac) for i, j, frac in plan])
     return out
 
 
+def quantiles_many(df: DataFrame, cols: list[str], probs: list[float], row=None) -> dict[str, list[float | None]]:
+    """Exact linear-interpolation quantiles of several columns (`percentile` semantics)."""
+    return {c: [None if x is None else x[0] if x[2] == 0 else _interpolate(*x) for x in got] for c, (_, got) in neighbours_many(df, cols, probs, row).items()}
+
+
 def quantiles(df: DataFrame, c: str, probs: list[float]) -> list[float | None]:
     """Exact linear-interpolation quantiles of one column (pandas / `percentile` semantics)."""
     return quantiles_many(df, [c], probs)[c]
 
 
 # ----------------------------------------------------------------- describe
-def describe(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    """Per column: count, mean, sample std, min, 25/50/75 % (exact), max.
+QUARTILES = [0.25, 0.5, 0.75]
+
 
-    Moments for all columns come from one aggregate, the quartiles of all
-    columns from one batched distributed selection (`quantiles_many`), so the
-    number of scans does not grow with the columns.
+def describe(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -> DataFrame:
+    """Per column: count, mean, sample std, min, 25/50/75 % (exact), max. Without `cols`: all columns of a number type.
+
+    The moments and the quantile sketch of all columns come from one
+    aggregate, the exact quartiles from one more scan (`neighbours_many`).
     """
-    aggs = []
-    for c in cols:
+    cols = numeric_columns(df) if cols is None else cols
+    moments = []
+    for i, c in enumerate(cols):
         x = clean(df, c)
-        aggs += [F.count(x).cast("long").alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    many = quantiles_many(df, cols, [0.25, 0.5, 0.75])
-    qcol = {c: tuple(F.lit(v).cast("double") for v in many[c]) for c in cols}
-    rows = [
-        F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__count").alias("count"),
-                 F.round(F.col(f"{c}__mean"), digits).alias("mean"), F.round(F.col(f"{c}__std"), digits).alias("std"),
-                 F.round(F.col(f"{c}__min"), digits).alias("min"), F.round(qcol[c][0], digits).alias("p25"),
-                 F.round(qcol[c][1], digits).alias("p50"), F.round(qcol[c][2], digits).alias("p75"),
-                 F.round(F.col(f"{c}__max"), digits).alias("max"))
-        for c in cols
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+        moments += [F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}")]
+    schema = "column_name string, count long, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
+    if not cols:
+        return df.sparkSession.createDataFrame([], schema)
+    row = df.agg(*sketch_aggs(df, cols, QUARTILES), *moments).first()
+    many = quantiles_many(df, cols, QUARTILES, row)
+    rows = [(c, row[f"n{i}"], row[f"mean{i}"], row[f"std{i}"], row[f"lo{i}"], *many[c], row[f"hi{i}"]) for i, c in enumerate(cols)]
+    out = df.sparkSession.createDataFrame(rows, schema)
+    return out.select("column_name", "count", *[F.round(c, digits).alias(c) for c in out.columns[2:]])
 
 
 def range_mean(df: DataFrame, c: str) -> DataFrame:
@@ -215,34 +210,55 @@ def range_mean(df: DataFrame, c: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- histogram
-def histogram(df: DataFrame, c: str, bins: int = 50) -> DataFrame:
-    """Equal-width bins over [min, max], last bin closed; empty bins kept.
+def finite(df: DataFrame, c: str) -> Column:
+    """Column `c` as double with NaN and infinite values turned into NULL."""
+    x = clean(df, c)
+    return F.when(F.abs(x) < F.lit(float("inf")), x)
+
+
+def finite_profile(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
+    """Per column: counts of finite, -Inf, +Inf, NaN and null values; mean, population std and bounds of the finite ones."""
+    aggs = []
+    for i, c in enumerate(cols):
+        x, v, inf = finite(df, c), F.col(c).cast("double"), F.lit(float("inf"))
+        aggs += [F.count(x).alias(f"n_finite{i}"), F.count_if(v == -inf).alias(f"n_neg_inf{i}"), F.count_if(v == inf).alias(f"n_pos_inf{i}"),
+                 F.count_if(F.isnan(v)).alias(f"n_nan{i}"), F.count_if(v.isNull()).alias(f"n_null{i}"),
+                 F.avg(x).alias(f"mean{i}"), F.stddev_pop(x).alias(f"std{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+    rows = [F.struct(F.lit(c).alias("column_name"), *[F.col(f"{n}{i}").alias(n) for n in ("n_finite", "n_neg_inf", "n_pos_inf", "n_nan", "n_null")],
+                     *[F.round(f"{n}{i}", digits).alias(n) for n in ("mean", "std", "min", "max")]) for i, c in enumerate(cols)]
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
+def histogram(df: DataFrame, c: str, bins: int = 50, tails: bool = False) -> DataFrame:
+    """Equal-width bins over the finite values' [min, max], last bin closed; empty bins kept.
 
     (bin, bin_lo, bin_hi, count). Bounds are a one-row statistic; the counts
-    are a `bins`-row aggregate joined to the `bins`-row bin list.
+    are a `bins`-row aggregate joined to the `bins`-row bin list. Infinite
+    values are in no bin; with `tails`, bin 0 counts -Inf and bin `bins` + 1
+    counts +Inf. Without finite values there are no bins.
     """
     x = clean(df, c)
-    st = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    inf = F.lit(float("inf"))
+    st = df.agg(F.min(finite(df, c)).alias("lo"), F.max(finite(df, c)).alias("hi")).first()
     spark = df.sparkSession
     lo, hi = st["lo"], st["hi"]
-    if lo is None:
-        return spark.range(0).select(F.col("id").cast("int").alias("bin"), F.lit(None).cast("double").alias("bin_lo"),
-                                     F.lit(None).cast("double").alias("bin_hi"), F.lit(0).cast("long").alias("count"))
-    width = hi - lo
-    if width == 0:
-        b = F.lit(1)
-    else:
-        b = F.least(F.floor((x - F.lit(lo)) / F.lit(width) * F.lit(bins)) + 1, F.lit(bins))
-    counts = (df.where(x.isNotNull()).groupBy(b.cast("int").alias("bin"))
-                .agg(F.count(F.lit(1)).cast("long").alias("count")))
-    edges = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    step = F.lit(width) / F.lit(bins)
+    none = F.lit(None).cast("double")
+    edges = spark.range(0).select(F.col("id").cast("int").alias("bin"), none.alias("bin_lo"), none.alias("bin_hi"))
+    b = F.lit(1)
+    if lo is not None:
+        # Halves, as the difference of two finite values can be infinite.
+        width = hi / 2 - lo / 2
+        if width > 0:
+            b = F.least(F.floor((x / 2 - F.lit(lo / 2)) / F.lit(width) * F.lit(bins)) + 1, F.lit(bins))
+        step = F.lit(width) / F.lit(bins) * 2
+        edges = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"), F.round(F.lit(lo) + (F.col("id") - 1) * step, 6).alias("bin_lo"),
+                                                F.round(F.lit(lo) + F.col("id") * step, 6).alias("bin_hi"))
+    b = F.when(x == -inf, 0).when(x == inf, bins + 1).otherwise(b).cast("int")
+    counts = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).cast("long").alias("count"))
+    if tails:
+        edges = edges.unionByName(spark.createDataFrame([(0, float("-inf"), float("-inf")), (bins + 1, float("inf"), float("inf"))], "bin int, bin_lo double, bin_hi double"))
     return (edges.join(counts, "bin", "left")
-                 .select("bin",
-                         F.round(F.lit(lo) + (F.col("bin") - 1) * step, 6).alias("bin_lo"),
-                         F.round(F.lit(lo) + F.col("bin") * step, 6).alias("bin_hi"),
-                         F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
-                 .orderBy("bin"))
+                 .select("bin", "bin_lo", "bin_hi", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")).orderBy("bin"))
 
 
 # ----------------------------------------------------------------- box plot
@@ -266,13 +282,3 @@ def boxplot_stats(df: DataFrame, c: str, whis: float = 1.5) -> DataFrame:
         F.round(F.max(F.when(x <= hi_l, x)), 6).alias("upper_whisker"),
         F.count_if((x < lo_l) | (x > hi_l)).cast("long").alias("n_outliers"),
     )
-
-
-def order_statistics(df: DataFrame, c: str, ks: list[int]) -> list[float | None]:
-    """Exact k-th smallest (0-based) non-missing values of `c`, by distributed selection."""
-    values = df.select(F.lit(0).alias("g"), clean(df, c).alias("x")).where(F.col("x").isNotNull())
-    st = values.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    if st["n"] == 0:
-        return [None for _ in ks]
-    got = _kth_values(values, [(0, k) for k in ks], {0: (st["lo"], st["hi"])})
-    return [got[(0, k)] for k in ks]

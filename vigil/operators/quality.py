@@ -10,11 +10,10 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.operators.rules import DEFAULT_RULES, evaluate_wide
-from vigil.schemas import QUALITY_HISTORY
 
 
 def _count_true(c: Column) -> Column:
@@ -94,5 +93,7 @@ def history_row(df: DataFrame, rules=DEFAULT_RULES, record_date: _dt.date | str
                        "total_rows", "failed_checks"))
 
 
-def empty_history(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], QUALITY_HISTORY)
+def with_run(history: DataFrame, run_id: str, run_at: _dt.datetime | str | None = None) -> DataFrame:
+    """History rows with the run that wrote them (run_at: now, if not given)."""
+    at = F.current_timestamp() if run_at is None else F.lit(str(run_at)).cast("timestamp")
+    return history.withColumn("run_at", at).withColumn("run_id", F.lit(run_id))

@@ -42,9 +42,12 @@ def flag_status(tx: DataFrame, anoms: DataFrame, key: str = "transaction_id") ->
     return with_flag_status(tx, anoms, key).select(key, "status")
 
 
-def fraud_breakdown(tx: DataFrame, anoms: DataFrame, label_col: str = "class") -> DataFrame:
-    """Counts by (is_fraud, status), as COUNT(*) over tx LEFT JOIN outliers."""
-    j = with_flag_status(tx, anoms)
+def fraud_breakdown(tx: DataFrame, anoms: DataFrame, label_col: str = "class", method: str | None = None) -> DataFrame:
+    """Counts by (is_fraud, status), as COUNT(*) over tx LEFT JOIN outliers: a row flagged by two detectors counts twice.
+
+    `method` takes the outliers of one detector, and each row counts once.
+    """
+    j = with_flag_status(tx, of_method(anoms, method))
     return (j.groupBy(F.col(label_col).alias("is_fraud"), "status")
              .agg(F.sum(F.coalesce(F.col("_hits"), F.lit(1))).cast("long").alias("cnt")))
 
@@ -57,9 +60,12 @@ def fraud_breakdown_scored(scored: DataFrame, label_col: str = "class") -> DataF
 
 
 def amount_distribution(tx: DataFrame, anoms: DataFrame, amount_col: str = "amount",
-                        cuts=AMOUNT_CUTS, labels=AMOUNT_LABELS, keep_min: bool = False) -> DataFrame:
-    """Per amount range: total rows and flagged rows, ordered by the range's smallest amount (kept as `_min` if asked)."""
-    j = with_flag_status(tx, anoms)
+                        cuts=AMOUNT_CUTS, labels=AMOUNT_LABELS, keep_min: bool = False, method: str | None = None) -> DataFrame:
+    """Per amount range: total rows and flagged rows, ordered by the range's smallest amount (kept as `_min` if asked).
+
+    Rows flagged by several detectors count as in `fraud_breakdown`.
+    """
+    j = with_flag_status(tx, of_method(anoms, method))
     w = F.coalesce(F.col("_hits"), F.lit(1))
     return (j.groupBy(bucketize(amount_col, cuts, labels).alias("amount_range"))
              .agg(F.sum(w).cast("long").alias("total"),
@@ -145,17 +151,25 @@ def history_by_day(df: DataFrame, date_col, rules=DEFAULT_RULES) -> DataFrame:
 
 
 def history_ordered(history: DataFrame) -> DataFrame:
-    return history.orderBy(F.col("record_date").asc_nulls_first())
+    """By date; several runs of one date by the time of the run."""
+    runs = [c for c in ("run_at", "run_id") if c in history.columns]
+    return history.orderBy(F.col("record_date").asc_nulls_first(), *runs)
 
 
 def latest_score(history: DataFrame) -> DataFrame:
-    """Score of the latest record_date; NULL on an empty history."""
-    # Several scores of one day: the one over most rows, then most failures, then the highest.
-    order = F.struct("record_date", "total_rows", "failed_checks", "quality_score")
+    """Score of the latest record_date, of its runs the latest; NULL on an empty history."""
+    # Without runs, of several scores of one day: the one over most rows, then most failures, then the highest.
+    runs = [c for c in ("run_at", "run_id") if c in history.columns]
+    order = F.struct("record_date", *runs, "total_rows", "failed_checks", "quality_score")
     return history.agg(F.max_by("quality_score", order).alias("quality_score"),
                        F.max("record_date").alias("record_date"))
 
 
+def of_method(anoms: DataFrame, method: str | None) -> DataFrame:
+    """The outliers of one detector, or of all."""
+    return anoms if method is None else anoms.where(F.col("detection_method") == method)
+
+
 def head(df: DataFrame, n: int = 10, order_by: str = "transaction_id") -> DataFrame:
     return df.orderBy(order_by).limit(n)
 

@@ -73,13 +73,6 @@ DEFAULT_RULES = [
     at_most("reasonable_amount", "amount", AMOUNT_LIMIT),
 ]
 
-# Checks implied by the defects the sample generator injects.
-SAMPLE_RULES = [
-    positive("positive_amount", "amount"),
-    not_blank("customer_present", "customer_id"),
-    parseable_date("parseable_date", "transaction_date"),
-]
-
 
 def rule_names(rules=DEFAULT_RULES) -> list[str]:
     return [r.name for r in rules]

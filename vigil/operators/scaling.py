@@ -2,7 +2,8 @@
 
 The means and deviations of all features come from one aggregate (a one-row
 statistic) and are applied as literals, so the scaled frame is a narrow
-projection of the input. A constant feature (std 0) is divided by 1.
+projection of the input. A constant feature (std 0) is divided by 1. The
+statistics are those of the finite values; an infinite value stays infinite.
 """
 
 from __future__ import annotations
@@ -10,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.profile import clean
+from vigil.operators.profile import clean, finite
 
 
 def scaler_aggs(df: DataFrame, features: list[str]) -> list:
     aggs = []
     for c in features:
-        x = clean(df, c)
+        x = finite(df, c)
         aggs += [F.avg(x).alias(f"{c}__m"), F.stddev_pop(x).alias(f"{c}__s")]
     return aggs
 

@@ -68,6 +68,22 @@ QUALITY_HISTORY = T.StructType([
     T.StructField("failed_checks", T.LongType(), False),
 ])
 
+# The history as it is stored: a score with the run that wrote it. Several runs may fall on one date.
+HISTORY_RUNS = T.StructType([
+    *QUALITY_HISTORY.fields,
+    T.StructField("run_at", T.TimestampType(), False),
+    T.StructField("run_id", T.StringType(), False),
+])
+
+# Lines of the source that do not fit its schema, and the line counts of each load.
+QUARANTINE = T.StructType([
+    T.StructField("line_id", T.LongType(), False),
+    T.StructField("source_file", T.StringType(), True),
+    T.StructField("line", T.StringType(), True),
+])
+
+LOAD_COUNTS = T.StructType([T.StructField(n, T.LongType(), False) for n in ("lines", "loaded", "quarantined")])
+
 # Earlier sample-data layout (generator output).
 SAMPLE_TRANSACTIONS = T.StructType([
     T.StructField("transaction_id", T.LongType(), True),
@@ -89,3 +105,15 @@ TABLES = {
     "anomalies": ANOMALIES,
     "data_quality_history": QUALITY_HISTORY,
 }
+
+
+def store_schemas(n_features: int = N_CARD_FEATURES) -> dict[str, T.StructType]:
+    """The tables that the jobs keep in a store."""
+    return {
+        "raw_transactions": raw_transactions_schema(n_features),
+        "validation_results": VALIDATION_RESULTS,
+        "anomalies": ANOMALIES,
+        "data_quality_history": HISTORY_RUNS,
+        "quarantine": QUARANTINE,
+        "load_counts": LOAD_COUNTS,
+    }

@@ -26,6 +26,7 @@ FEATURES = {
     "tx_orders": ["amount", "v1", "v2"],
     "tx_acct": ["amount", "v1"],
     "tx_docs": ["amount", "v1"],
+    "tx_card": ["amount", "v1", "v2", "v3"],
 }
 
 
@@ -97,11 +98,26 @@ def tx_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tx_card(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of the card layout; ids are the customers' places, from 1."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        (F.col("c_custkey") + 1).alias("transaction_id"),
+        F.col("c_nationkey").cast("double").alias("time_elapsed"),
+        F.col("c_nationkey").cast("double").alias("v1"),
+        (F.col("c_custkey") % 7).cast("double").alias("v2"),
+        F.length("c_mktsegment").cast("double").alias("v3"),
+        F.col("c_acctbal").alias("amount"),
+        F.when(F.col("c_mktsegment") == "BUILDING", 1).otherwise(0).alias("class"),
+    )
+
+
 VIEWS = {
     "tx_events": tx_events,
     "tx_orders": tx_orders,
     "tx_acct": tx_acct,
     "tx_docs": tx_docs,
+    "tx_card": tx_card,
 }
 
 
@@ -151,6 +167,15 @@ VIEW_SQL = {
                CAST(l.quality AS DOUBLE) AS v1,
                d.source AS region
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+    "tx_card": """
+        SELECT c_custkey + 1 AS transaction_id,
+               CAST(c_nationkey AS DOUBLE) AS time_elapsed,
+               CAST(c_nationkey AS DOUBLE) AS v1,
+               CAST(c_custkey % 7 AS DOUBLE) AS v2,
+               CAST(length(c_mktsegment) AS DOUBLE) AS v3,
+               c_acctbal AS amount,
+               CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS class
+        FROM customer""",
 }
 
 

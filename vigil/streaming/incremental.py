@@ -3,13 +3,12 @@
 The rules are row-local, so checking files as they land is the batch
 evaluation applied per micro-batch: `foreachBatch` appends the long check
 results and one score-history row per batch, idempotently keyed by the batch
-id (a replayed batch after a failure rewrites its own partition). A running
-per-rule total is kept as streaming aggregation state.
+id (a replayed batch after a failure rewrites its own partition).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,17 +28,13 @@ def checked_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: st
     return R.evaluate_wide(src, rules)
 
 
-def running_totals(checked: DataFrame, rules=R.DEFAULT_RULES) -> DataFrame:
-    """Per-rule passed/failed totals over everything seen so far (stateful aggregate)."""
-    pairs = ", ".join(f"'{r.name}', `{r.name}`" for r in rules)
-    long = checked.select(F.expr(f"stack({len(rules)}, {pairs}) AS (rule_name, rule_passed)"))
-    return long.groupBy("rule_name").agg(F.count_if("rule_passed").cast("long").alias("passed"),
-                                         F.count_if(~F.col("rule_passed")).cast("long").alias("failed"))
-
-
 def write_batches(checked: DataFrame, results_path: str, history_path: str, checkpoint: str,
-                  rules=R.DEFAULT_RULES, id_col: str = "transaction_id"):
-    """Start the query appending results and a history row per micro-batch."""
+                  rules=R.DEFAULT_RULES, id_col: str = "transaction_id", date_col: Column | None = None):
+    """Start the query appending results and a history row per micro-batch.
+
+    The row is dated with the latest `date_col` of the batch, so that a batch
+    replayed on a later day gives the same row. Without it, with the day it ran.
+    """
     names = [r.name for r in rules]
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
@@ -51,9 +46,10 @@ def write_batches(checked: DataFrame, results_path: str, history_path: str, chec
              .partitionBy("batch_id").parquet(results_path))
         failed = sum((F.when(~F.col(n), 1).otherwise(0) for n in names), F.lit(0))
         hist = batch.agg(F.count(F.lit(1)).cast("long").alias("total_rows"),
-                         F.coalesce(F.sum(failed), F.lit(0)).cast("long").alias("failed_checks")) \
+                         F.coalesce(F.sum(failed), F.lit(0)).cast("long").alias("failed_checks"),
+                         (F.current_date() if date_col is None else F.max(date_col).cast("date")).alias("record_date")) \
             .where(F.col("total_rows") > 0) \
-            .select(F.current_date().alias("record_date"),
+            .select("record_date",
                     score_expr(F.col("failed_checks"), F.col("total_rows") * len(names)).alias("quality_score"),
                     "total_rows", "failed_checks", F.lit(batch_id).cast("long").alias("batch_id"))
         (hist.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
