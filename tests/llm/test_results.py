@@ -82,20 +82,40 @@ def test_embeddings_against_all_pairs(spark):
     assert all(r.kept == (r.component_id == i) for i, r in got.items())
 
 
+def searched(graph, x, at):
+    from vigil.llm.hnsw import THRESHOLD, Search
+    task = Search(np.arange(len(x)), x, np.ones(len(x), int), graph, THRESHOLD)
+    return task, *task.run(at, x[at])
+
+
 def test_graph_search_finds_what_brute_force_finds():
-    from vigil.llm.hnsw import Hnsw, search
+    from vigil.llm.hnsw import Hnsw
     dice = np.random.default_rng(5)
     x = dice.normal(size=(3000, 32))
     x[1000:1400] = x[0] + dice.normal(size=(400, 32)) * 0.08  # wider than the first beam
-    found, _ = search(Hnsw.load(Hnsw(x).dump()), x[900:1500])
+    _, counts, _ = searched(Hnsw.load(Hnsw(x).dump()), x, np.arange(900, 1500))
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    truth = (unit[900:1500] @ unit.T >= 0.95).sum(1)
-    assert sum(len(f) for f in found) >= 0.99 * truth.sum() and truth.max() > 300
+    truth = (unit[900:1500] @ unit.T >= 0.95).sum(1) - 1
+    assert (counts == truth).all() and truth.max() > 300
+
+
+def test_a_large_group_is_read_to_its_end(spark):
+    from vigil.llm.hnsw import near_duplicates
+    dice = np.random.default_rng(8)
+    x = dice.normal(size=(6000, 24))
+    x[:5000] = x[0] + dice.normal(size=(5000, 24)) * 0.1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    x = x.astype(np.float32).astype(float)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    got = {r.vec_id: r for r in near_duplicates(df).collect()}
+    assert [got[i].n_links for i in range(6000)] == (near.sum(1) - 1).tolist()
+    root = roots(range(6000), [(i, int(j)) for i in range(6000) for j in (near[i].argmax(), near[:, i].argmax())] + [(i, int(j)) for i in range(0, 6000, 50) for j in np.flatnonzero(near[i])])
+    assert {i: r.component_id for i, r in got.items()} == root
 
 
 @pytest.mark.parametrize("dense, sparse", [(21, 43), (2000, 60)])
 def test_audit_weighs_every_query_alike(dense, sparse):
-    from vigil.llm.hnsw import search
     dice = np.random.default_rng(6)
     x = dice.normal(size=(3000 + sparse, 32))
     x[:3000] = x[0] + dice.normal(size=(3000, 32)) * 0.02
@@ -107,8 +127,8 @@ def test_audit_weighs_every_query_alike(dense, sparse):
             return [f if len(f) > 100 or width >= 256 else f[:0] for f in found]
     graph = Narrow()
     graph.x = x
-    found, beam = search(graph, np.concatenate([x[:dense], x[3000:]]))
-    assert beam >= 256 and all(map(len, found))
+    task, counts, _ = searched(graph, x, np.concatenate([np.arange(dense), np.arange(3000, 3000 + sparse)]))
+    assert task.beam >= 256 and (counts[:dense] == 2999).all() and not counts[dense:].any()
 
 
 def test_languages(spark):
