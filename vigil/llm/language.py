@@ -41,7 +41,8 @@ HOST_SMOOTHING, DOMAIN_SMOOTHING = 8.0, 16.0
 MIN_BYTES = 12          # shorter texts decide nothing that is counted
 SURE = 2.0              # decisions are counted where the best language leads by so much
 
-_GONE = re.compile(r"(?is)<!--.*?-->|<(script|style|nav|footer|noscript)\b.*?</\1\s*>|<[^>]*>")
+_MARKUP = re.compile(r"(?i)<(?:(!--)|(script|style|nav|footer|noscript)\b)?")
+_CLOSES = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "nav", "footer", "noscript")} | {"!--": re.compile("-->")}
 # Each match takes a whole comment or <html> tag, so a page is read once at most.
 _HTML = re.compile(r"(?is)<!--(?:-?>|.*?(?:-->|\Z))|<html\b([^>]*)")
 _LANG = re.compile(r"""(?i)\blang\s*=\s*["']?([a-z]{2,3})""")
@@ -49,7 +50,21 @@ _SPACE = re.compile(rb"[\x00-\x40\x5b-\x60\x7b-\x7f]+")
 
 
 def visible(html: str) -> str:
-    return entities.unescape(_GONE.sub(" ", html))
+    """The text outside tags, comments and the elements above; where one of these never ends, only its tag goes.
+
+    What has no end is looked for once, so the time is linear in the page.
+    """
+    out, at, last, endless = [], 0, html.rfind(">"), set()
+    while at <= last and (found := _MARKUP.search(html, at, last + 1)):
+        out.append(html[at:found.start()])
+        name, close = (found.group(1) or found.group(2) or "").lower(), None
+        if name and name not in endless:
+            close = _CLOSES[name].search(html, found.end())
+            if not close:
+                endless.add(name)
+        at = close.end() if close else html.find(">", found.start()) + 1
+    out.append(html[at:])
+    return entities.unescape(" ".join(out))
 
 
 def declared_language(html: str) -> str | None:
