@@ -69,7 +69,9 @@ N_GROUPS = len(TOKENS)
 class Page:
     """The tree in document order: parents come before their children."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, marked: bool = False):
+        """`marked`: html made by `rewritten`, whose label attributes are read."""
+        self.marked = marked
         self.tag, self.parent, self.depth, self.groups, self.mark = ["#root"], [-1], [0], [0], [None]
         self.text, self.link, self.tags = [""], [0], [0]
         self.stack, self.run, self.in_link = [0], [], 0
@@ -124,7 +126,7 @@ class Page:
             for name, a, b, c in _NAME.findall(attrs):
                 value = a or b or c
                 if name.lower() == "data-y":
-                    mark = int(value)
+                    mark = int(value) if self.marked else None
                 else:
                     for token in _PART.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()):
                         if token in _GROUP:
@@ -267,6 +269,23 @@ def markup_labels(page: Page) -> np.ndarray | None:
     return y
 
 
+def _shaped(text: str, dice: random.Random) -> str:
+    """A paragraph as a list, table, quotation, preformatted text, figure or section of its own."""
+    esc = entities.escape
+    pieces = [p for p in re.split(r"(?<=[.!?;:,]) ", text) if p] or [text]
+    words = text.split(" ")
+    cells = [" ".join(words[i:i + 4]) for i in range(0, len(words), 4)]
+    inner = lambda p: esc(p) if dice.random() < .7 else f"<p>{esc(p)}</p>"
+    return dice.choice([
+        lambda: (lambda t: f"<{t}>" + "".join(f"<li>{inner(p)}</li>" for p in pieces) + f"</{t}>")(dice.choice(["ul", "ol"])),
+        lambda: "<table>" + "".join("<tr>" + "".join(f"<{t}>{esc(c)}</{t}>" for c in cells[i:i + 3]) + "</tr>" for i in range(0, len(cells), 3) for t in [dice.choice(["td", "td", "th"])]) + "</table>",
+        lambda: f"<pre>{esc(text)}</pre>", lambda: f"<pre><code>{esc(text)}</code></pre>", lambda: f"<blockquote>{esc(text)}</blockquote>",
+        lambda: "<blockquote>" + "".join(f"<p>{esc(p)}</p>" for p in pieces) + "</blockquote>",
+        lambda: f'<figure><img src="x.png"><figcaption>{esc(text)}</figcaption></figure>',
+        lambda: f"<section><h2>{esc(' '.join(words[:4]))}</h2><p>{esc(' '.join(words[4:]) or text)}</p></section>",
+        lambda: "<dl>" + "".join(f"<dt>{esc(p.split(' ')[0])}</dt><dd>{esc(p)}</dd>" for p in pieces) + "</dl>"])()
+
+
 def rewritten(page: Page, y: np.ndarray, dice: random.Random) -> str:
     """The same article and boilerplate under other markup, with the labels in data-y attributes."""
     esc = entities.escape
@@ -289,8 +308,11 @@ def rewritten(page: Page, y: np.ndarray, dice: random.Random) -> str:
     head = lambda: dice.choice([f'<header data-y="0"><h2>{phrase(1, 4)}</h2>{links(0, 6)}</header>', box("div", "header masthead top logo", phrase(1, 6))])
     menu = lambda: dice.choice([f'<nav data-y="0">{links(2, 10)}</nav>', box("div ul", "menu nav navbar breadcrumbs links", links(2, 10))])
     foot = lambda: dice.choice([f'<footer data-y="0"><p>{esc(dice.choice(junk))}</p></footer>', box("div section", "footer bottom copyright legal", plain(3, 25) + some(.5, lambda: links(2, 6)))])
-    parts = []
+    parts, shaped = [], dice.choice([0, 0, .25])
     for k, (tag, text) in enumerate(body):
+        if dice.random() < shaped:  # the given articles may hold paragraphs only, those of the web do not
+            parts.append(_shaped(text, dice))
+            continue
         tag = tag if len(tag) == 2 and tag[0] == "h" or tag in ("p", "li", "blockquote", "pre", "td") else "p"
         cut = text.split(" ")
         if len(cut) > 8 and dice.random() < .3:
@@ -319,7 +341,7 @@ def train(pages: list[str], variants: int = VARIANTS, seed: int = 7) -> Boosted:
         y = markup_labels(page)
         if y is None or not y.any():
             continue
-        for made in [page, *(Page(rewritten(page, y, dice)) for _ in range(variants))]:
+        for made in [page, *(Page(rewritten(page, y, dice), marked=True) for _ in range(variants))]:
             y_made = markup_labels(made)
             y_made[0] = 1
             below = y_made[np.maximum(made.parent, 0)] > 0  # what the decoder asks: nodes whose parent is kept
