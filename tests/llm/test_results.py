@@ -284,28 +284,6 @@ def edits(a, b):
     return row[-1]
 
 
-def test_line_groups_against_all_pairs(spark, texts):
-    from vigil.llm.lines import op9_line_dedup, simhashes, text_lines
-    lines = [(i, n, x) for i, t in texts.items() for n, x, _ in text_lines(t)]
-    distinct = sorted({x for *_, x in lines})
-    sims, links = simhashes(distinct), []
-    for i in range(len(distinct)):
-        for j in np.flatnonzero(np.bitwise_count(sims[:i] ^ sims[i]) <= 3):
-            a, b = distinct[i].decode(), distinct[j].decode()
-            if edits(a, b) <= max(len(a), len(b)) // 10:
-                links.append((i, int(j)))
-    root, at = roots(range(len(distinct)), links), {x: i for i, x in enumerate(distinct)}
-    first = {}
-    for i, n, x in sorted(lines):
-        first.setdefault(root[at[x]], (i, n))
-    got = {(r.doc_id, r.line_no): r for r in op9_line_dedup(spark, SF).collect()}
-    assert set(got) == {(i, n) for i, n, _ in lines}
-    for i, n, x in lines:
-        keeper = first[root[at[x]]]
-        assert (got[i, n].kept_doc_id, got[i, n].kept_line_no) == keeper and got[i, n].kept == ((i, n) == keeper)
-    assert links
-
-
 def test_line_groups_against_edit_distance_alone(spark, texts):
     from pyspark.sql import functions as F
     from vigil.llm.lines import op9_line_dedup, text_lines

@@ -22,6 +22,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstage(*tables: DataFrame) -> None:
+    """Deletes the files of staged tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -80,7 +89,8 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stage(least.select("u", F.col("m").alias("v")).unionByName(small).distinct(), "edges")
+        before, edges = edges, stage(least.select("u", F.col("m").alias("v")).unionByName(small).distinct(), "edges")
+        unstage(before)
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
@@ -99,7 +109,7 @@ def connect(postings: DataFrame, attrs: list[str], near: Callable, verify: Calla
     of one key in different components, outnumber the postings; then all that
     are left are verified, so no link that would join two components is missed.
     `near()` is a cheap condition on prefixed columns (a_, b_); `verify` takes
-    distinct pairs (a, b) and returns the true links. Returns (node, component)
+    distinct pairs (a, b) and returns the true links, staged. Returns (node, component)
     of all nodes that have a link.
     """
     postings = stage(postings, "postings")
@@ -112,6 +122,7 @@ def connect(postings: DataFrame, attrs: list[str], near: Callable, verify: Calla
         sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
         sizes = sizes.groupBy("key").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2 / F.sum("n")).alias("share")).where("share > 0")
         placed = stage(placed.join(sizes, "key"), "open")
+        unstage(postings)
         postings = placed.select("key", "node", *attrs)
         # `share` divides a key's pairs among its postings, so it sums to the pairs of all keys.
         rows, pairs_left = placed.agg(F.count(F.lit(1)), F.sum("share")).first()
@@ -127,12 +138,15 @@ def connect(postings: DataFrame, attrs: list[str], near: Callable, verify: Calla
         met = met.where(near()).select(*pair).distinct()
         met = stage(met if tested is None else met.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = met if tested is None else tested.unionByName(met)
-        new = stage(verify(met), "links")
+        new = verify(met)
         merged = new.count()
         if merged:  # what is joined so far goes on as stars
-            found = components(new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+            before, found = found, components(new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+            unstage(*[before] if before is not None else [])
+        unstage(new)
         if last:
             break
+    unstage(*[tested] if tested is not None else [])
     if found is None:
         return postings.select("node", F.col("node").alias("component")).limit(0)
     return found

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import as_bytes, connect, narrow, portions, shuffle_partitions, stage
+from vigil.llm.common import as_bytes, connect, narrow, portions, shuffle_partitions, stage, unstage
 from vigil.llm.packed import REQUEST, answers, mixed, requests, shrink, totals, widen
 
 SHINGLE, PERCENT = 5, 80
@@ -215,7 +215,9 @@ def _verifier(docs: DataFrame, leaders: DataFrame):
         sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(rebuilt, "node long, members binary")
         sets = stage(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
         side = lambda name, value: sets.select(F.col("node").alias(name), F.col("members").alias(value))
-        return pairs.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "x", "y").mapInArrow(linked, "a long, b long")
+        found = stage(pairs.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "x", "y").mapInArrow(linked, "a long, b long"), "links")
+        unstage(sets)
+        return found
     return verify
 
 
