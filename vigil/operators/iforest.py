@@ -87,7 +87,7 @@ class _Lowest:
     def __init__(self, most: int, width: int):
         self.most, self.n = most, 0
         self.mean, self.m2 = np.zeros(width), np.zeros(width)
-        self.hash, self.x, self.ids = np.zeros((0, 2), np.uint64), np.zeros((0, width)), np.zeros(0, object)
+        self.hash, self.x, self.ids = np.zeros((0, 2), np.uint64), np.zeros((0, width)), pa.array([], pa.string())
 
     def add(self, hashes: np.ndarray, x: np.ndarray, ids) -> None:
         m = len(x)
@@ -100,19 +100,22 @@ class _Lowest:
         self.n += m
         if len(self.hash) >= self.most:  # only what can still be among the lowest
             near = np.flatnonzero(hashes[:, 0] <= self.hash[:, 0].max())
-            hashes, x, ids = hashes[near], x[near], ids.take(near)
+            hashes, x, ids = hashes[near], x[near], ids.take(pa.array(near))
         self.hash, self.x = np.concatenate([self.hash, hashes]), np.concatenate([self.x, x])
-        self.ids = np.concatenate([self.ids, np.array(ids.to_pylist(), object)])
+        self.ids = pa.concat_arrays([self.ids, ids])
         if len(self.hash) > self.most:
             keep = np.lexsort((self.hash[:, 1], self.hash[:, 0]))[:self.most]
-            self.hash, self.x, self.ids = self.hash[keep], self.x[keep], self.ids[keep]
+            self.hash, self.x, self.ids = self.hash[keep], self.x[keep], self.ids.take(pa.array(keep))
 
-    def rows(self) -> pa.RecordBatch:
-        own = len(self.hash)
-        keys = [h.tobytes() for h in self.hash.astype(">u8")]
-        columns = [(pa.array([*keys, None], pa.binary())), pa.array([*self.ids, None], pa.string()), pa.array([*self.x.tolist(), None], pa.list_(pa.float64())),
-                   pa.array([None] * own + [self.n], pa.int64()), *[pa.array([None] * own + [v.tolist()], pa.list_(pa.float64())) for v in (self.mean, self.m2)]]
-        return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SURVEY.split(", ")])
+    def rows(self):
+        """The candidates, and one row of moments."""
+        names, own, numbers = [c.split()[0] for c in SURVEY.split(", ")], len(self.hash), pa.list_(pa.float64())
+        keys = pa.Array.from_buffers(pa.binary(16), own, [None, pa.py_buffer(self.hash.astype(">u8").tobytes())]).cast(pa.binary())
+        width = self.x.shape[1]
+        values = pa.ListArray.from_arrays(pa.array(np.arange(own + 1, dtype=np.int32) * width), pa.array(self.x.ravel()))
+        yield pa.RecordBatch.from_arrays([keys, self.ids, values, pa.nulls(own, pa.int64()), pa.nulls(own, numbers), pa.nulls(own, numbers)], names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.binary()), pa.nulls(1, pa.string()), pa.nulls(1, numbers), pa.array([self.n], pa.int64()),
+                                          *[pa.array([v.tolist()], numbers) for v in (self.mean, self.m2)]], names=names)
 
 
 @dataclass
@@ -122,7 +125,8 @@ class Survey:
     n: int
     mean: dict[str, float]
     std: dict[str, float]
-    candidates: DataFrame   # _h, _id, x
+    candidates: DataFrame   # _h, _id, x, _level
+    under: list[int]        # of the candidates, how many have a draw under 2**-j, j from 0
 
 
 def survey(df: DataFrame, id_col: str, features: list[str], p: ForestParams) -> Survey:
@@ -144,20 +148,26 @@ def survey(df: DataFrame, id_col: str, features: list[str], p: ForestParams) ->
             hashes = np.frombuffer(raw.buffers()[1], ">u8", 2 * len(raw), 16 * raw.offset).reshape(-1, 2).astype(np.uint64)
             x = np.stack([batch.column(f"x{i}").to_numpy(zero_copy_only=False) for i in range(width)], axis=1) if width else np.zeros((len(raw), 0))
             lowest.add(hashes, x, batch.column("_id"))
-        yield lowest.rows()
+        yield from lowest.rows()
 
     spark = df.sparkSession
     path = scratch_dir(spark, "survey")
     rows.mapInArrow(run, SURVEY).write.parquet(path)
     found = spark.read.parquet(path)
+    u = F.conv(F.hex(F.substring("_h", 1, 4)), 16, 10).cast("double") / F.lit(TWO_32)
+    level = F.when(u > 0, F.least(F.floor(-F.log2(u)), F.lit(HASH_LEVELS))).when(F.col("_h").isNotNull(), HASH_LEVELS).cast("int")
+    found = found.withColumn("_level", level)
     moments = found.where("n > 0")
     at = lambda c, i: F.element_at(c, i + 1)
-    first = moments.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[F.sum(F.col("n") * at("mean", i)).alias(f"s{i}") for i in range(width)]).first()
+    # Rows of candidates have no moments, rows of moments no level: one aggregate for both.
+    first = found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[F.sum(F.when(F.col("n") > 0, F.col("n") * at("mean", i))).alias(f"s{i}") for i in range(width)],
+                      *[F.count_if(F.col("_level") >= j).alias(f"l{j}") for j in range(HASH_LEVELS + 1)]).first()
     n = first["n"]
     mean = [first[f"s{i}"] / n if n else 0.0 for i in range(width)]
     spread = moments.agg(*[F.sum(at("m2", i) + F.col("n") * F.pow(at("mean", i) - F.lit(mean[i]), F.lit(2.0))).alias(f"q{i}") for i in range(width)]).first()
     std = [math.sqrt(max(spread[f"q{i}"], 0.0) / n) if n else 0.0 for i in range(width)]
-    return Survey(features, n, dict(zip(features, mean)), dict(zip(features, std)), found.where("_h IS NOT NULL").select("_h", "_id", "x"))
+    return Survey(features, n, dict(zip(features, mean)), dict(zip(features, std)), found.where("_h IS NOT NULL").select("_h", "_id", "x", "_level"),
+                  [first[f"l{j}"] for j in range(HASH_LEVELS + 1)])
 
 
 def sample(found: Survey, p: ForestParams, scale: bool = False) -> tuple[DataFrame, int]:
@@ -174,15 +184,8 @@ def sample(found: Survey, p: ForestParams, scale: bool = False) -> tuple[DataFra
     k = p.trees * psi
     m = min(found.n, k)
     # The m lowest are among the candidates; those under the lowest power of two that m of them are under include them.
-    u = F.conv(F.hex(F.substring("_h", 1, 4)), 16, 10).cast("double") / F.lit(TWO_32)
-    level = F.when(u > 0, F.least(F.floor(-F.log2(u)), F.lit(HASH_LEVELS))).otherwise(HASH_LEVELS).cast("int")
-    candidates = found.candidates.withColumn("_level", level)
-    lowest, under = 0, 0
-    for row in sorted(candidates.groupBy("_level").agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
-        lowest, under = row["_level"], under + row["n"]
-        if under >= m:
-            break
-    top = candidates.where(F.col("_level") >= lowest).orderBy("_h", "_id").limit(m)
+    lowest = max(j for j, n in enumerate(found.under) if n >= m)
+    top = found.candidates.where(F.col("_level") >= lowest).orderBy("_h", "_id").limit(m)
     # Window and explode run over the m gathered rows only and make trees * psi rows.
     rk = (F.row_number().over(Window.orderBy("_h", "_id")) - 1).cast("long")
     places = F.sequence(F.col("_rk"), F.lit(k - 1).cast("long"), F.lit(m).cast("long"))

@@ -98,21 +98,24 @@ def _ranked(cells: DataFrame, wanted: list[tuple[int, int, int]], distinct: int)
     a rank is found by the totals of the parts first, then inside its part.
     """
     spark = cells.sparkSession
-    path = scratch_dir(spark, "brackets")
     parts = max(1, -(-distinct // PART_VALUES))
-    cells.where("cell % 2 = 1").select("g", "cell", "v", "n").repartitionByRange(parts, "g", "cell", "v").withColumn("part", F.spark_partition_id()).write.parquet(path)
-    placed = spark.read.parquet(path)
-    totals: dict[tuple[int, int], list] = {}
-    for row in placed.groupBy("g", "cell", "part").agg(F.sum("n").alias("n")).orderBy("part").collect():
-        totals.setdefault((row["g"], row["cell"]), []).append(row)
-    targets = []
-    for g, cell, r in wanted:
-        left = r
-        for row in totals[(g, cell)]:
-            if left < row["n"]:
-                targets.append((g, cell, row["part"], r, left))
-                break
-            left -= row["n"]
+    placed = cells.where("cell % 2 = 1").select("g", "cell", "v", "n", F.lit(0).alias("part"))
+    targets = [(g, cell, 0, r, r) for g, cell, r in wanted]
+    if parts > 1:  # one part needs no dealing out
+        path = scratch_dir(spark, "brackets")
+        placed.repartitionByRange(parts, "g", "cell", "v").withColumn("part", F.spark_partition_id()).write.parquet(path)
+        placed = spark.read.parquet(path)
+        totals: dict[tuple[int, int], list] = {}
+        for row in placed.groupBy("g", "cell", "part").agg(F.sum("n").alias("n")).orderBy("part").collect():
+            totals.setdefault((row["g"], row["cell"]), []).append(row)
+        targets = []
+        for g, cell, r in wanted:
+            left = r
+            for row in totals[(g, cell)]:
+                if left < row["n"]:
+                    targets.append((g, cell, row["part"], r, left))
+                    break
+                left -= row["n"]
     upto = F.sum("n").over(Window.partitionBy("g", "cell", "part").orderBy("v"))
     at = spark.createDataFrame(targets, "g int, cell int, part int, r long, left_over long")
     found = (placed.withColumn("upto", upto).join(F.broadcast(at), ["g", "cell", "part"])
