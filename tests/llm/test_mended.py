@@ -104,3 +104,49 @@ def test_staged_tables_are_deleted(spark):
     assert not glob.glob(folder) and kept.count() == 3
     links = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
     assert {r.component for r in components(links).collect()} == {0}
+
+
+def test_edit_distance_on_bits():
+    from vigil.llm.lines import within
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    dice = np.random.default_rng(8)
+    word = lambda: "".join(dice.choice(list("abcé"), int(dice.integers(0, 90))))
+    for _ in range(150):
+        x = word()
+        y = word() if dice.random() < 0.3 else x[:7] + x[9:40] + "z" + x[40:]
+        edits = distance(x, y)
+        assert all(within(x, y, most) == (edits <= most) for most in (0, max(0, edits - 1), edits, edits + 1))
+
+
+def test_split_keys_lose_no_pair():
+    from vigil.llm.lines import IN_KEY, SEVERAL, allowed, split_keys
+    dice = np.random.default_rng(9)
+    for _ in range(400):
+        n = int(dice.integers(54, 3000))
+        edits = allowed(n)
+        m, p = n - int(dice.integers(0, edits + 1)), int(dice.integers(0, n - 12))
+        q = int(np.clip(p + dice.integers(-edits, edits + 1), 0, m))
+        for places in ((p, q), (SEVERAL, q), (p, SEVERAL), (IN_KEY, IN_KEY)):
+            tokens, source = split_keys(np.full(2, 77, np.uint64), np.array([n, m]), np.array(places))
+            assert set(tokens[source == 0].tolist()) & set(tokens[source == 1].tolist())
+    far, source = split_keys(np.full(2, 77, np.uint64), np.array([100, 400]), np.array([5, 5]))
+    assert not set(far[source == 0].tolist()) & set(far[source == 1].tolist())
+
+
+def test_lines_that_share_a_passage_elsewhere_are_apart(spark):
+    from vigil.llm.lines import duplicates
+    dice = np.random.default_rng(10)
+    text = lambda n: " ".join("".join(dice.choice(list("abcdefghij"), 6)) for _ in range(n))
+    passage, line = text(60), text(40)
+    rows = [(1, f"{passage} {text(20)}"), (2, f"{text(20)} {passage}"), (3, f"{text(10)} {passage} {text(10)}"), (4, f"{line} {text(2)}"), (5, line)]
+    got = {r.doc_id: r.kept_doc_id for r in duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4}

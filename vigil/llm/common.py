@@ -98,7 +98,7 @@ def components(links: DataFrame) -> DataFrame:
 CENTRES = 8  # nodes of a key that a round holds the others against
 
 
-def connect(postings: DataFrame, attrs: list[str], near: Callable, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def connect(postings: DataFrame, attrs: list[str], near: Callable, verify: Callable[[DataFrame], DataFrame], often: int = 2) -> DataFrame:
     """Components of the nodes that share a key and pass `verify`, without all pairs of a key.
 
     `postings` has key, node and `attrs`. A round holds the nodes of every key
@@ -106,7 +106,8 @@ def connect(postings: DataFrame, attrs: list[str], near: Callable, verify: Calla
     pairs within one component, and joins components along the verified links.
     So a group of k similar nodes grows together from a few times k pairs.
     Rounds go on while they find many links and the pairs that are left, those
-    of one key in different components, outnumber the postings; then all that
+    of one key in different components, are more than `often` times the postings (a
+    round meets `CENTRES` times the postings at most); then all that
     are left are verified, so no link that would join two components is missed.
     `near()` is a cheap condition on prefixed columns (a_, b_); `verify` takes
     distinct pairs (a, b) and returns the true links, staged. Returns (node, component)
@@ -128,7 +129,7 @@ def connect(postings: DataFrame, attrs: list[str], near: Callable, verify: Calla
         rows, pairs_left = placed.agg(F.count(F.lit(1)), F.sum("share")).first()
         if not rows:
             break
-        last = pairs_left <= 2 * rows or (turn > 0 and 50 * merged < rows)
+        last = pairs_left <= often * rows or (turn > 0 and 50 * merged < rows)
         if last:
             met = side(placed, "a").join(side(placed, "b"), "key").where("a_component < b_component")
         else:
