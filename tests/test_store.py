@@ -188,3 +188,14 @@ def test_a_job_that_fails_leaves_the_store_as_it_was(spark, tmp_path):
     assert runs == ["c", "a", "b"]
     latest = RP.latest_score(store.read("data_quality_history")).first()["quality_score"]
     assert latest == store.read("data_quality_history").where("run_id = 'b'").first()["quality_score"]
+
+
+def test_numberings_are_compared_in_parts_of_bounded_rows(spark, monkeypatch):
+    from vigil import catalog_store as CS
+    path = scratch_dir(spark, "sf")
+    spark.range(6000).selectExpr("id DIV 4 AS l_orderkey").write.parquet(f"{path}/lineitem.parquet")
+    monkeypatch.setattr(CS, "ROWS_OF_A_PART", 500)
+    got = CS.s2_ids_over_files(spark, path)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(", 12), REPARTITION_BY_NUM") == 3  # both numberings by file and place, then the ids
+    assert [tuple(r) for r in got.collect()] == [(6000, 1, 6000, 6000, 0, 0)]

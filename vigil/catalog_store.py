@@ -71,6 +71,9 @@ def s1_load_counts(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Ids over many files
 # --------------------------------------------------------------------------
+ROWS_OF_A_PART = 250_000  # of each numbering in one task of `s2_ids_over_files`
+
+
 @register("s2_ids_over_files", """
     SELECT count(*) AS n, 1 AS first_id, count(*) AS last_id, count(*) AS distinct_ids, 0 AS changed, 0 AS out_of_order FROM lineitem""")
 def s2_ids_over_files(spark, sf_dir):
@@ -87,11 +90,15 @@ def s2_ids_over_files(spark, sf_dir):
     finally:
         spark.conf.set(size, held)
     one, two = runs
-    both = one.join(two.select("file", "at", F.col("id").alias("again")), ["file", "at"])
+    # So many parts, which AQE doesn't merge, as keep the rows of a task below a fixed number.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-spark.read.parquet(path).count() // ROWS_OF_A_PART))
+    both = one.repartition(parts, "file", "at").join(two.select("file", "at", F.col("id").alias("again")).repartition(parts, "file", "at"), ["file", "at"])
     files = one.groupBy("file").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n"))
     wrong = files.agg(F.count_if(F.col("hi") - F.col("lo") + 1 != F.col("n")).alias("out_of_order"))
-    return both.agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.countDistinct("id").alias("distinct_ids"),
-                    F.count_if(F.col("id") != F.col("again")).alias("changed")).crossJoin(wrong)  # two rows of one
+    ids = both.repartition(parts, "id").groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("id") != F.col("again")).alias("changed"))
+    whole = lambda c: F.coalesce(F.sum(c), F.lit(0).cast("long"))
+    return ids.agg(whole("n").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count("id").alias("distinct_ids"),
+                   whole("changed").alias("changed")).crossJoin(wrong)  # two rows of one
 
 
 # --------------------------------------------------------------------------
