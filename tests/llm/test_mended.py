@@ -150,3 +150,20 @@ def test_lines_that_share_a_passage_elsewhere_are_apart(spark):
     rows = [(1, f"{passage} {text(20)}"), (2, f"{text(20)} {passage}"), (3, f"{text(10)} {passage} {text(10)}"), (4, f"{line} {text(2)}"), (5, line)]
     got = {r.doc_id: r.kept_doc_id for r in duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 4}
+
+
+def test_licence_model_learns_from_every_ordinary_paragraph(spark, monkeypatch):
+    from vigil.llm import licences as L
+    seen, stage = [], L.stage
+
+    def noting(df, name):
+        out = stage(df, name)
+        if name == "ordinary":
+            seen.extend(out.groupBy("held").sum("n").collect())
+        return out
+    monkeypatch.setattr(L, "stage", noting)
+    rows = spark.range(5000).selectExpr("id AS doc_id", "concat('the ', id, 'th use of this file is free', '\nthe ', id, 'th use of this file is free') AS text")
+    more = spark.createDataFrame([(-1, "Released under the MIT License.")], "doc_id long, text string")
+    got = L.scan(rows.unionByName(more)).collect()
+    assert [(r.doc_id, r.family, r.confirmed) for r in got] == [(-1, "MIT", True)]
+    assert sum(r[1] for r in seen) == 5000 and {r[0]: 800 < r[1] for r in seen} == {True: True, False: True}

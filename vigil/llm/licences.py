@@ -2,13 +2,14 @@
 
 A multinomial logistic regression with an L1 penalty learns licence families
 and an unknown class from the sentences of the templates below (whole and in
-windows) and from at most `TRAIN_PARAGRAPHS` ordinary paragraphs. Its weights
-are a sparse table of n-grams. Scanning is DataFrame code only: the n-grams of
-every paragraph are joined with that small table and their weights summed, so
-a paragraph without a known n-gram costs no further row. A family is reported
-when its probability passes a threshold calibrated on held-out ordinary
-paragraphs, and confirmed when the paragraph's word trigrams are contained in
-one of the family's templates.
+windows) and from all distinct ordinary paragraphs of the input. Its features
+are the n-grams of the templates, as no other can speak for a family, so the
+model has a fixed size; ordinary paragraphs with the same n-grams are one
+training row that weighs as much as they do. Scanning is DataFrame code only:
+the features of each distinct paragraph are counted once, and every one gets
+the probabilities of the families. A family is reported when its probability passes a threshold
+calibrated on all held-out ordinary paragraphs, a fifth, and confirmed when the
+paragraph's word trigrams are contained in one of the family's templates.
 
 A paragraph is a line of the text. Defined cases: null and empty texts give no
 rows; null ids are carried; rows that repeat an id are told apart by a row
@@ -18,16 +19,17 @@ the threshold is `LEAST`.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vigil.llm.common import stage
+from vigil.llm.common import stage, unstage
 
-TRAIN_PARAGRAPHS = 4000
-LEAST, FALSE_SHARE = 0.6, 0.001   # lowest threshold; share of held-out ordinary paragraphs allowed above it
+LEAST, MOST, FALSE_SHARE = 0.6, 0.95, 0.001   # lowest and highest threshold; share of held-out ordinary paragraphs allowed above it
+STEPS = 1000                                  # the threshold is a multiple of 1 / STEPS
 CONFIRMED = 0.5
 UNKNOWN = "unknown"
 
@@ -75,16 +77,16 @@ def ngrams(tokens: Column, n: int) -> Column:
 
 
 def grams(tokens: Column) -> Column:
-    """Features: distinct words and pairs."""
+    """Features: words and pairs, as often as they stand there."""
     pairs = F.zip_with(tokens, F.slice(tokens, 2, F.greatest(F.size(tokens), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.array_distinct(F.concat(tokens, F.filter(pairs, lambda x: x.isNotNull())))
+    return F.concat(tokens, F.filter(pairs, lambda x: x.isNotNull()))
 
 
 def paragraphs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(row, doc_id, paragraph, text) of the lines, numbered from 0; `row` tells rows apart that repeat an id. Staged, as the row numbers must last."""
+    """(row, doc_id, paragraph, text) of the lines, numbered from 0; `row` tells rows apart that repeat an id, within one reading."""
     docs = df.select(F.monotonically_increasing_id().alias("row"), df[id_col].cast("long").alias("doc_id"), df[text_col].cast("string").alias("text"))
     lines = docs.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "text"))
-    return stage(lines.where(F.col("text").rlike(WORD)), "paragraphs")
+    return lines.where(F.col("text").rlike(WORD))
 
 
 def template_rows(spark: SparkSession) -> DataFrame:
@@ -93,69 +95,85 @@ def template_rows(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "family string, template int, text string")
 
 
-def training_rows(spark: SparkSession, plain: DataFrame) -> DataFrame:
-    """(family, tokens, ordinary): templates whole, repeated and in windows of 8 words; ordinary paragraphs as unknown."""
+def template_grams(spark: SparkSession) -> DataFrame:
+    """(family, grams): templates whole, with other words before them and in windows of 8 words."""
     whole = template_rows(spark).withColumn("tokens", words(F.col("text")))
     windows = whole.where(F.size("tokens") > 12).select("family", F.explode(F.transform(
         F.sequence(F.lit(1), F.size("tokens") - 7, F.lit(4)), lambda i: F.slice("tokens", i, 8))).alias("tokens"))
     # Licence lines with other words around them.
     framed = whole.join(F.broadcast(spark.createDataFrame([(p,) for p in ("", "notice", "please note that this file is", "see")], "p string")), F.lit(True)).select(
         "family", F.concat(F.split("p", " "), "tokens").alias("tokens"))
-    # One row of no words, so that the unknown class is there without any ordinary paragraph.
-    silent = spark.createDataFrame([(UNKNOWN, ["-"])], "family string, tokens array<string>")
-    some = whole.select("family", "tokens").unionByName(windows).unionByName(framed).unionByName(silent).withColumn("ordinary", F.lit(False))
-    return some.unionByName(plain.select(F.lit(UNKNOWN).alias("family"), "tokens", F.lit(True).alias("ordinary")))
+    return whole.select("family", "tokens").unionByName(windows).unionByName(framed).select("family", grams(F.col("tokens")).alias("grams"))
 
 
-def train(spark: SparkSession, plain: DataFrame) -> tuple[list[str], list[float], DataFrame, float]:
-    """(families, intercepts, table (gram, weights), threshold). `plain` holds a bounded sample of paragraphs.
+def counted(rows: DataFrame, counter: CountVectorizerModel) -> DataFrame:
+    """`rows` with the features of their text."""
+    return counter.transform(rows.withColumn("tokens", words(F.col("text"))).withColumn("grams", grams(F.col("tokens")))).drop("tokens", "grams")
 
-    A fifth of the ordinary paragraphs is held out; the threshold is the
-    probability of a family that only FALSE_SHARE of them pass.
+
+def distinct_texts(lines: DataFrame, counter: CountVectorizerModel) -> DataFrame:
+    """(h, plain, features) of the distinct texts, staged: `h` a hash of the text, `plain` whether it is ordinary."""
+    plain = ~F.col("text").rlike(r"(?i)licen[sc]e|copyright|rights reserved|spdx|public domain|creative commons")
+    texts = counted(lines.select(F.xxhash64("text").alias("h"), plain.alias("plain"), "text"), counter)
+    return stage(texts.select("h", "plain", "features").distinct(), "texts")
+
+
+def features(spark: SparkSession) -> tuple[CountVectorizerModel, DataFrame]:
+    """What counts the n-grams of the templates, and `template_grams`."""
+    known = stage(template_grams(spark).coalesce(1), "templates")  # some hundred rows
+    vocabulary = sorted(r[0] for r in known.select(F.explode("grams")).distinct().collect())  # those of the templates above
+    return CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features", binary=True), known
+
+
+def train(counter: CountVectorizerModel, known: DataFrame, plain: DataFrame) -> tuple[LogisticRegressionModel, float]:
+    """(model, threshold) from the templates and the ordinary texts (h, features).
+
+    A fifth of the ordinary texts is held out; the threshold is the probability
+    of a family that at most FALSE_SHARE of them reach. Texts with the same
+    n-grams are one row that weighs as much as they do.
     """
-    rows = stage(training_rows(spark, plain).withColumn("grams", grams(F.col("tokens"))).withColumn("h", F.pmod(F.xxhash64("tokens"), F.lit(5))), "training")
-    families = [*TEMPLATES, UNKNOWN]
-    number = F.element_at(F.create_map(*[x for i, f in enumerate(families) for x in (F.lit(f), F.lit(float(i)))]), F.col("family"))
-    # A family's few rows weigh as much as a tenth of the ordinary ones.
-    weight = F.when(F.col("ordinary"), F.lit(1.0)).otherwise(F.lit(TRAIN_PARAGRAPHS / 10) / F.count(F.lit(1)).over(Window.partitionBy("family")))
-    fit = rows.where("NOT ordinary OR h <> 0").withColumn("label", number).withColumn("weight", weight).coalesce(2).cache()  # bounded: some thousand rows
-    counted = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=2.0, vocabSize=20_000).fit(fit)
-    model = LogisticRegression(family="multinomial", weightCol="weight", regParam=2e-4, elasticNetParam=1.0, maxIter=50, standardization=False).fit(
-        counted.transform(fit).select("label", "weight", "features"))
-    fit.unpersist()
-    matrix, intercepts = model.coefficientMatrix.toArray(), [float(x) for x in model.interceptVector]
-    # A class that no row has gets no weight; the label order is that of `families`.
-    table = [(g, [float(x) for x in matrix[:, j]]) for j, g in enumerate(counted.vocabulary) if abs(matrix[:, j]).max() > 1e-6]
-    weights = stage(spark.createDataFrame(table, "gram string, weights array<double>"), "weights")
-    held = score(rows.where("ordinary AND h = 0").select(F.xxhash64("tokens").alias("row"), F.lit(0).alias("paragraph"), "tokens"), families, intercepts, weights)
-    worst = held.agg(F.percentile("probability", 1 - FALSE_SHARE)).first()[0]
-    return families, intercepts, weights, max(LEAST, min(worst or 0.0, 0.95))
-
-
-def score(rows: DataFrame, families: list[str], intercepts: list[float], weights: DataFrame) -> DataFrame:
-    """(row, paragraph, family, probability) of the paragraphs (row, paragraph, tokens) that have an n-gram with weight; the best family that isn't unknown."""
-    n = len(families)
-    hits = rows.select("row", "paragraph", F.explode(grams(F.col("tokens"))).alias("gram")).join(F.broadcast(weights), "gram")  # at most the vocabulary size
-    sums = hits.groupBy("row", "paragraph").agg(*[F.sum(F.element_at("weights", i + 1)).alias(f"w{i}") for i in range(n)])
-    logits = [F.col(f"w{i}") + F.lit(intercepts[i]) for i in range(n)]
-    top = F.greatest(*logits)
-    total = sum((F.exp(x - top) for x in logits[1:]), F.exp(logits[0] - top))
-    best = F.greatest(*logits[:-1])
-    named = F.coalesce(*[F.when(x == best, F.lit(f)) for x, f in zip(logits, families)])
-    return sums.select("row", "paragraph", named.alias("family"), (F.exp(best - top) / total).alias("probability"))
+    spark = plain.sparkSession
+    ordinary = stage(plain.groupBy("features", (F.pmod("h", F.lit(5)) == 0).alias("held")).agg(F.count(F.lit(1)).alias("n")), "ordinary")
+    size = ordinary.where("NOT held").agg(F.sum("n")).first()[0] or 1
+    # A family's few rows weigh as much as a tenth of the ordinary ones. One row of no words, so that the unknown class is there without any ordinary paragraph.
+    silent = spark.createDataFrame([(UNKNOWN, [])], "family string, grams array<string>")
+    weight = F.lit(size / 10) / F.count(F.lit(1)).over(Window.partitionBy("family"))
+    families = F.array(*map(F.lit, [*TEMPLATES, UNKNOWN]))
+    fixed = counter.transform(known.unionByName(silent)).select("family", weight.alias("weight"), "features")
+    some = ordinary.where("NOT held").select(F.lit(UNKNOWN).alias("family"), F.col("n").cast("double").alias("weight"), "features")
+    fit = fixed.unionByName(some).select((F.array_position(families, F.col("family")) - 1).cast("double").alias("label"), "weight", "features")
+    model = LogisticRegression(family="multinomial", weightCol="weight", regParam=2e-4, elasticNetParam=1.0, maxIter=50, standardization=False).fit(fit)
+    steps = best_family(ordinary.where("held"), model).groupBy(F.floor(F.greatest("probability", F.lit(LEAST - 1 / STEPS)) * STEPS).alias("step")).agg(F.sum("n").alias("n")).collect()  # a row a step
+    unstage(ordinary)
+    allowed, above, threshold = FALSE_SHARE * sum(r["n"] for r in steps), 0, LEAST
+    for r in sorted(steps, key=lambda r: -r["step"]):
+        above += r["n"]
+        if above > allowed:
+            threshold = (r["step"] + 1) / STEPS
+            break
+    return model, max(LEAST, min(threshold, MOST))
+
+
+def best_family(rows: DataFrame, model: LogisticRegressionModel) -> DataFrame:
+    """`rows` with the best family that isn't unknown, and its probability."""
+    rows = model.transform(rows).withColumn("p", vector_to_array("probability")).drop("rawPrediction", "prediction", "probability")
+    named = F.slice("p", 1, len(TEMPLATES))
+    rows = rows.withColumn("probability", F.array_max(named))
+    return rows.withColumn("family", F.element_at(F.array(*map(F.lit, TEMPLATES)), F.array_position(named, F.col("probability")).cast("int"))).drop("p", "features")
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per paragraph with a licence: doc_id, paragraph, family, probability, template, containment, confirmed, text."""
     spark = df.sparkSession
     lines = paragraphs(df, id_col, text_col)
-    plain = lines.where(~F.col("text").rlike(r"(?i)licen[sc]e|copyright|rights reserved|spdx|public domain|creative commons")).select("text", F.xxhash64("text").alias("h"))
-    lowest = plain.select("h").distinct().orderBy("h").limit(TRAIN_PARAGRAPHS)
-    sample = plain.join(F.broadcast(lowest), "h", "left_semi").dropDuplicates(["h"]).select("h", words(F.col("text")).alias("tokens"))  # TRAIN_PARAGRAPHS numbers
-    families, intercepts, weights, threshold = train(spark, sample)
-    found = score(lines.withColumn("tokens", words(F.col("text"))), families, intercepts, weights).where(F.col("probability") >= threshold)
-    found = stage(found.select("row", "paragraph", "family", "probability"), "licences")
-    texts = lines.join(found, ["row", "paragraph"]).withColumn("tokens", words(F.col("text")))
+    counter, known = features(spark)
+    distinct = distinct_texts(lines, counter)
+    model, threshold = train(counter, known, distinct.where("plain"))
+    wanted = stage(best_family(distinct, model).where(F.col("probability") >= threshold).select("h").distinct(), "wanted")
+    # The hash only chooses lines; what is reported is computed from the lines themselves.
+    chosen = stage(lines.withColumn("h", F.xxhash64("text")).join(wanted, "h", "left_semi").drop("h"), "licences")
+    unstage(known, distinct, wanted)
+    texts = best_family(counted(chosen, counter), model).where(F.col("probability") >= threshold).withColumn("tokens", words(F.col("text")))
     shape = lambda t: F.array_distinct(F.when(F.size(t) >= 3, ngrams(t, 3)).otherwise(F.array(F.array_join(t, " "))))
     known = template_rows(spark).select("family", "template", shape(words(F.col("text"))).alias("known"))
     compared = texts.withColumn("own", shape(F.col("tokens"))).join(F.broadcast(known), "family")  # the templates above
