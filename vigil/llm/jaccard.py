@@ -32,8 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import as_bytes, connect, narrow, portions, shuffle_partitions, stage, unstage
-from vigil.llm.packed import REQUEST, answers, mixed, requests, shrink, totals, widen
+from vigil.llm.common import as_bytes, connect, narrow, portions, rows_of, shuffle_partitions, stage, stage_buckets, unstage
+from vigil.llm.packed import REQUEST, answers, differing, mixed, requests, shrink, totals, widen
 
 SHINGLE, PERCENT = 5, 80
 CELLS, SKETCH_ROWS = 1 << 20, 16   # counters of the sketch; rows it travels in
@@ -170,14 +170,12 @@ def _emit(_, recipe: pd.DataFrame, frame: pd.DataFrame) -> pd.DataFrame:
     full = np.flatnonzero(b.sizes > 0)
     distinct = np.unique(b.sets[full], return_inverse=True)
     leader = answers(frame, SET, two)[0][distinct[1]] if len(full) else np.empty(0, np.uint64)
-    low, high = answers(frame, GROUP, two)
     several = np.zeros(len(b.sizes), bool)
     leads = np.zeros(len(b.sizes), bool)
     if len(full):
-        several[full] = (low != high)[np.unique(b.groups[full], return_inverse=True)[1]]
+        several[full] = differing(frame, GROUP)[np.unique(b.groups[full], return_inverse=True)[1]]
         leads[full] = (_order(b.ids)[full] == leader) & (leader != _NONE)
-        low, high = answers(frame, TOKEN, two)
-        shared = (low != high)[np.unique(b.tokens, return_inverse=True)[1]]
+        shared = differing(frame, TOKEN)[np.unique(b.tokens, return_inverse=True)[1]]
     else:
         shared = np.zeros(0, bool)
     take = np.flatnonzero(leads[b.owner] & (shared | several[b.owner]))
@@ -212,12 +210,9 @@ def _verifier(docs: DataFrame, leaders: DataFrame):
     def verify(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         ids = wanted.join(leaders, "node").select(F.col("leader").alias("doc_id")).distinct()
-        sets = docs.join(ids, "doc_id", "left_semi").mapInArrow(rebuilt, "node long, members binary")
-        sets = stage(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
+        sets = rows_of(docs, ids, "doc_id", rebuilt, "node long, members binary").dropDuplicates(["node"])  # both joins read one shuffle of it
         side = lambda name, value: sets.select(F.col("node").alias(name), F.col("members").alias(value))
-        found = stage(pairs.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "x", "y").mapInArrow(linked, "a long, b long"), "links")
-        unstage(sets)
-        return found
+        return stage(pairs.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "x", "y").mapInArrow(linked, "a long, b long"), "links")
     return verify
 
 
@@ -233,10 +228,11 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", slices:
     spark = df.sparkSession
     docs = narrow(df, id_col, text_col)
     shared = spark.sparkContext.broadcast(sketch(docs))
-    recipe = stage(docs.mapInArrow(_recipes(shared), RECIPE), "recipe")
+    recipe = stage_buckets(docs.mapInArrow(_recipes(shared), RECIPE), "recipe", "batch")
     asked = recipe.mapInArrow(_ask(slices or shuffle_partitions(spark)), REQUEST)
-    answered = totals(asked, (np.minimum, np.uint64), (np.maximum, np.uint64))
+    answered = totals(asked, (np.minimum, np.uint64), (np.maximum, np.uint64), differ=(TOKEN, GROUP))
     found = stage(recipe.groupBy("batch").cogroup(answered.groupBy("batch")).applyInPandas(_emit, FOUND), "found")
+    unstage(recipe)
     listed = found.where("token IS NULL").select("doc_id", "node", F.col("size").cast("long").alias("n_shingles"))
     postings = found.where("token IS NOT NULL").select(F.col("token").alias("key"), "node", "size", "place").distinct()
     leaders = found.where("token IS NOT NULL").groupBy("node").agg(F.min("leader").alias("leader"))
