@@ -2,9 +2,11 @@
 
 import glob
 import time
+import tracemalloc
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 TRAIN = "/root/testdata/sf0.01"
@@ -167,3 +169,34 @@ def test_licence_model_learns_from_every_ordinary_paragraph(spark, monkeypatch):
     got = L.scan(rows.unionByName(more)).collect()
     assert [(r.doc_id, r.family, r.confirmed) for r in got] == [(-1, "MIT", True)]
     assert sum(r[1] for r in seen) == 5000 and {r[0]: 800 < r[1] for r in seen} == {True: True, False: True}
+
+
+def test_a_reused_worker_drops_the_coder_of_a_finished_stage(spark):
+    from vigil.llm import bpe, common
+    docs = spark.createDataFrame([(i, f"one line of text with number {i}") for i in range(8)], "doc_id long, text string").coalesce(1)
+
+    def held(batches):
+        for batch in batches:
+            yield batch.slice(0, 1).set_column(0, "doc_id", pa.array([len(common._KEPT)], pa.int64()))
+    bpe.digests(docs).collect()
+    common.map_batches(docs, lambda part: part, docs.schema).count()
+    assert [r.doc_id for r in docs.mapInArrow(held, docs.schema).collect()] == [0]
+    made = []
+    for owner in (1, 1, 2, 1):
+        common.kept(owner, lambda: made.append(owner) or owner)
+    common.release()
+    assert made == [1, 2, 1]
+
+
+def test_a_coder_holds_a_portion_as_numbers():
+    from vigil.llm.bpe import Bpe, default_tokenizer
+    with open(default_tokenizer(), encoding="utf-8") as f:
+        coder = Bpe(f.read())
+    texts = [" ".join(f"word{(i * 7919 + j) % 500}" for j in range(300)) for i in range(1500)]
+    want = coder.encode(texts[:500])  # learns all words
+    tracemalloc.start()
+    got = coder.encode(texts)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[:500] == want and coder.decode(got[-1]) == texts[-1]
+    assert held < 40 * sum(len(t.split()) for t in texts)

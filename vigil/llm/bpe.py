@@ -24,6 +24,8 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from array import array
+from collections import defaultdict
 from itertools import chain
 
 import numpy as np
@@ -32,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import map_batches, narrow
+from vigil.llm.common import kept, map_batches, narrow
 
 #: Fixed pattern of byte-level pre-tokenising.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -53,13 +55,14 @@ class Bpe:
         spec = json.loads(text)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         letters = byte_letters()
-        self.byte_ids = np.array([vocab[x] for x in letters], np.int64)
+        self.byte_ids = np.array([vocab[x] for x in letters], np.int32)
         pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
         self.made = [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs]  # by rank
         keys = np.array([a << 32 | b for a, b, _ in self.made], np.int64)
         self.rank_at = np.argsort(keys)
         self.keys = keys[self.rank_at]
         byte_of = {x: b for b, x in enumerate(letters)}
+        self.ids = np.arange(max(vocab.values()) + 1).astype(object)  # one number object per id, shared by all that is known
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.strings: dict[int, bytes] = {i: bytes(byte_of[c] for c in s) for s, i in vocab.items() if s not in self.added}
         self.strings |= {i: s.encode() for s, i in self.added.items()}
@@ -70,7 +73,7 @@ class Bpe:
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merge rank of each pair, -1 for none."""
-        keys = left << 32 | right
+        keys = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.rank_at[at], -1)
 
@@ -80,8 +83,8 @@ class Bpe:
         n = int(ends[-1]) if len(words) else 0
         if not n:
             return [()] * len(words)
-        symbol = np.append(self.byte_ids[np.frombuffer(b"".join(words), np.uint8)], -1)  # place n stands for no neighbour
-        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        symbol = np.append(self.byte_ids[np.frombuffer(b"".join(words), np.uint8)], np.int32(-1))  # place n stands for no neighbour
+        after, before = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
         after[ends[ends > 0] - 1] = n
         before[ends[ends < n]] = n
         before[0] = n
@@ -120,7 +123,7 @@ class Bpe:
                     queue[rank] = [place]
                     heapq.heappush(heap, rank)
         alive = symbol[:n] >= 0
-        ids = symbol[:n][alive].tolist()
+        ids = self.ids[symbol[:n][alive]].tolist()
         cuts = [0, *np.cumsum(alive)[ends[ends > 0] - 1].tolist()]
         made = (tuple(ids[a:b]) for a, b in zip(cuts, cuts[1:]))
         return [next(made) if w else () for w in words]
@@ -158,34 +161,30 @@ class Bpe:
         return [head, *[" " + p for p in rest]]
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
-        cut: list[list[str]] = []
+        number = defaultdict(lambda: len(number))  # of each distinct piece; a text is kept as numbers, not as strings
+        cut: list[array] = []
         for text in texts:
             if not text:
-                cut.append([])
+                pieces = []
             elif self.split_added is None or not self.split_added.search(text):
-                cut.append(self._pieces(text))
+                pieces = self._pieces(text)
             else:
-                parts = (([p] if p in self.added else self._pieces(p)) for p in self.split_added.split(text) if p)
-                cut.append(list(chain.from_iterable(parts)))
-        self._learn(set().union(*cut) - self.added.keys())
+                pieces = chain.from_iterable(([p] if p in self.added else self._pieces(p)) for p in self.split_added.split(text) if p)
+            cut.append(array("i", map(number.__getitem__, pieces)))
+        self._learn(number.keys() - self.added.keys())
         known = self.known
         if not self.added.keys() <= known.keys():
             known |= {s: (i,) for s, i in self.added.items()}
-        return [list(chain.from_iterable(map(known.__getitem__, pieces))) for pieces in cut]
+        coded = [known[p] for p in number]
+        return [list(chain.from_iterable(map(coded.__getitem__, numbers))) for numbers in cut]
 
     def decode(self, ids) -> str:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_LOADED: dict[int, Bpe] = {}
-
-
 def _loaded(shared) -> Bpe:
-    """The coder of a broadcast tokenizer file, built once per worker."""
-    if shared.id not in _LOADED:
-        _LOADED.clear()
-        _LOADED[shared.id] = Bpe(shared.value)
-    return _LOADED[shared.id]
+    """The coder of a broadcast tokenizer file, built once per worker and kept until other work comes."""
+    return kept(shared.id, lambda: Bpe(shared.value))
 
 
 class _Shared:
@@ -224,7 +223,7 @@ def encode(df: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id",
         if decoded:
             arrays.append(pa.array([coder.decode(x) for x in ids], pa.string()))
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "decoded"][:len(arrays)])
-    return map_batches(narrow(df, id_col, text_col), run, "doc_id long, ids array<int>" + ", decoded string" * decoded)
+    return map_batches(narrow(df, id_col, text_col), run, "doc_id long, ids array<int>" + ", decoded string" * decoded, owner=shared.id)
 
 
 def decode(df: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
