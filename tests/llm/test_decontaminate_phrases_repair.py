@@ -4,10 +4,13 @@ import collections
 import hashlib
 import itertools
 import re
+import tracemalloc
+import types
 import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 SF = "/root/testdata/sf0.001"
@@ -104,6 +107,34 @@ def test_filters_keep_what_they_are_given(n, width):
         assert set(got) == set(want) and {v for v in got.values() if v < 10**12} <= set(want.values())
 
 
+def test_a_merge_sorts_a_range_in_parts(monkeypatch):
+    from vigil.llm import cqf, phrases
+    n, width, given, many, batches = 2, 20, 2, 60_000, 20
+    bits, dice, filters, want = cqf.bits_of(n, width), np.random.default_rng(7), [], collections.Counter()
+    for _ in range(batches):
+        high = np.uint64(1 << bits[0] - given) | dice.integers(0, 1 << 15, many, dtype=np.uint64) << np.uint64(3)
+        low = dice.integers(0, 4, many, dtype=np.uint64)
+        order, starts = cqf.ordered(high, low, bits)
+        counts = np.diff(np.append(starts, many))
+        high, low = high[order[starts]], low[order[starts]]
+        want.update(dict(zip(zip(high.tolist(), low.tolist()), counts.tolist())))
+        filters.append(cqf.build(high, low, counts, bits, given))
+    group = pd.DataFrame({"slice": 1, "batch": range(batches), "filter": filters})
+    held, join = [], types.SimpleNamespace(groupBy=lambda _: types.SimpleNamespace(applyInPandas=lambda f, _: f))
+    found = []
+    for keys in (1 << 40, 1 << 16):  # all at once, in parts
+        monkeypatch.setattr(phrases, "PART_KEYS", keys)
+        tracemalloc.start()
+        out = phrases.merge(join, n, width, given, 11)(group)
+        held.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        told, frequent = out[out["batch"].notna()], out[out["batch"].isna()]
+        found.append((told["bits"].tolist(), {tuple(i): int(f) for i, f in zip(frequent["ids"], frequent["f"])}))
+    named = lambda k: tuple(cqf.unpack(*cqf.restore(*(np.array([x], np.uint64) for x in k), bits), n, width)[0].tolist())
+    assert found[0] == found[1] and found[0][1] == {named(k): f for k, f in want.items() if f >= 11}
+    assert held[1] < 0.75 * held[0] and held[1] < 48 * many * batches
+
+
 def plain_phrases(docs, least):
     counts, sums = collections.Counter(), collections.Counter()
     for text, lang in docs:

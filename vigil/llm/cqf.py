@@ -83,6 +83,22 @@ def ordered(high: np.ndarray, low: np.ndarray, bits: tuple[int, int]) -> tuple[n
     return order, np.flatnonzero(np.concatenate([[True], new])) if len(order) else np.zeros(0, np.int64)
 
 
+def parts(high: np.ndarray, bits: tuple[int, int], given: int, most: int):
+    """Places of the values of a range, dealt out by the bits after the `given` ones so that a part has about `most`; equal values stay together."""
+    own = bits[0] - given
+    cut = min(max(-(-len(high) // most) - 1, 0).bit_length(), own, 16)
+    which = ((high & _mask(own)) >> np.uint64(own - cut)).astype(np.uint16) if cut else np.zeros(len(high), np.uint16)
+    for part in range(1 << cut):
+        at = np.flatnonzero(which == part)
+        if len(at):
+            yield at
+
+
+def length(raw: bytes) -> int:
+    """How many values a filter holds."""
+    return struct.unpack_from(_HEAD, raw)[0]
+
+
 def _thin(values: np.ndarray, bits: int) -> bytes:
     return np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :(bits + 7) // 8].tobytes()
 

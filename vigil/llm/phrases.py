@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vigil.llm import cqf
-from vigil.llm.common import as_bytes, portions, stage
+from vigil.llm.common import as_bytes, portions, release, stage
 from vigil.sources.ids import with_dense_id
 
 LEAST = 30            # occurrences of a candidate
@@ -47,6 +47,7 @@ TOP = 2000            # phrases of a language in the report
 COVERED_PERCENT = 80  # share of a phrase's occurrences inside a longer one that drops it
 SCALE = 2_000_000     # of the score a / (l + r)
 RANGE_KEYS = 1 << 22  # candidate occurrences to a range of quotients
+PART_KEYS = 1 << 19   # values of a range that a merge sorts at once
 SALTS = 64            # parts of a language that are ranked before its ranks are joined
 
 BREAK = b"."
@@ -68,6 +69,7 @@ def tokenize(documents: DataFrame, text_col: str = "text", lang_col: str = "lang
     df = documents.select(documents[text_col].cast("string").alias("text"), F.coalesce(documents[lang_col].cast("string"), F.lit("und")).alias("lang"))
 
     def run(batches):
+        release()
         place, made = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             for part in portions(batch, "text"):
@@ -150,21 +152,26 @@ def merge(asked: DataFrame, n: int, width: int, given: int, least: int) -> DataF
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
         place = int(group["slice"].iloc[0])
-        parts = [cqf.read(raw, bits, given, place) for raw in group["filter"]]
-        high, low, counts = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        sizes = [len(p[0]) for p in parts]
-        del parts
-        order, starts = cqf.ordered(high, low, bits)
-        totals = np.add.reduceat(counts[order], starts)
-        frequent = totals >= np.uint64(least)
-        marks = np.empty(len(order), bool)
-        marks[order] = np.repeat(frequent, np.diff(np.append(starts, len(order))))
-        first = order[starts[frequent]]
-        ids = cqf.unpack(*cqf.restore(high[first], low[first], bits), n, width)
+        sizes = [cqf.length(raw) for raw in group["filter"]]
         ends = np.cumsum(sizes)
+        high, low = np.empty(ends[-1], np.uint64), np.empty(ends[-1], np.uint64)
+        counts, marks = np.empty(ends[-1], np.uint32), np.empty(ends[-1], bool)  # a text has fewer than 2**31 bytes
+        for raw, s, e in zip(group["filter"], sizes, ends):
+            high[e - s:e], low[e - s:e], counts[e - s:e] = cqf.read(raw, bits, given, place)
+        first, sums = [], []
+        for at in cqf.parts(high, bits, given, PART_KEYS):
+            order, starts = cqf.ordered(high[at], low[at], bits)
+            order = at[order]
+            totals = np.add.reduceat(counts[order], starts, dtype=np.uint64)
+            frequent = totals >= np.uint64(least)
+            marks[order] = np.repeat(frequent, np.diff(np.append(starts, len(order))))
+            first.append(order[starts[frequent]])
+            sums.append(totals[frequent].astype(np.int64))
+        first, sums = np.concatenate(first), np.concatenate(sums)
+        ids = cqf.unpack(*cqf.restore(high[first], low[first], bits), n, width)
         told = [np.packbits(marks[e - s:e]).tobytes() for s, e in zip(sizes, ends)]
         return pd.DataFrame({"slice": place, "batch": [*group["batch"], *[None] * len(ids)], "bits": [*told, *[None] * len(ids)],
-                             "ids": [*[None] * len(told), *ids.tolist()], "f": [*[None] * len(told), *totals[frequent].astype(np.int64).tolist()]},
+                             "ids": [*[None] * len(told), *ids.tolist()], "f": [*[None] * len(told), *sums.tolist()]},
                             ).astype({"batch": "Int64", "f": "Int64"})
     return asked.groupBy("slice").applyInPandas(join, MERGED)
 
