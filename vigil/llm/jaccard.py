@@ -234,7 +234,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", slices:
     found = stage(recipe.groupBy("batch").cogroup(answered.groupBy("batch")).applyInPandas(_emit, FOUND), "found")
     unstage(recipe)
     listed = found.where("token IS NULL").select("doc_id", "node", F.col("size").cast("long").alias("n_shingles"))
-    postings = found.where("token IS NOT NULL").select(F.col("token").alias("key"), "node", "size", "place").distinct()
+    postings = found.where("token IS NOT NULL").select(F.col("token").alias("key"), "node", "size", "place")
     leaders = found.where("token IS NOT NULL").groupBy("node").agg(F.min("leader").alias("leader"))
     parts = connect(postings, ["size", "place"], _near, _verifier(docs, leaders))
     listed = listed.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
