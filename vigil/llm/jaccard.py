@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import as_bytes, connect, narrow, portions, rows_of, shuffle_partitions, stage, stage_buckets, unstage
+from vigil.llm.common import as_bytes, connect, give_back, narrow, portions, rows_of, shuffle_partitions, stage, stage_buckets, unstage
 from vigil.llm.packed import REQUEST, answers, differing, mixed, requests, shrink, totals, widen
 
 SHINGLE, PERCENT = 5, 80
@@ -196,6 +196,7 @@ def _verifier(docs: DataFrame, leaders: DataFrame):
                 sets = shingle_sets(as_bytes(part.column("text")))
                 nodes = np.array([xxhash.xxh3_64_intdigest(s.tobytes(), seed=0) for s in sets], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "members"])
+        give_back()
 
     def linked(batches):
         for batch in batches:
@@ -206,6 +207,7 @@ def _verifier(docs: DataFrame, leaders: DataFrame):
                 both = int((y[at] == x).sum())
                 keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        give_back()
 
     def verify(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
